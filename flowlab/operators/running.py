@@ -32,16 +32,21 @@ def order_value(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def fit_cuts(df: DataFrame, name: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
-    """Ascending cut points so that a slice holds about ``rows_per_slice`` rows; one scan."""
-    marks = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
-    x = order_value(df, name)
-    n, points = df.agg(F.count(x), F.percentile_approx(x, marks, ACCURACY)).first()
-    slices = min(MAX_SLICES, math.ceil(n / rows_per_slice))
+def fit_cuts(
+    df: DataFrame, name: str, rows_per_slice: int = ROWS_PER_SLICE, max_slices: int = MAX_SLICES
+) -> list[float]:
+    """Ascending cut points so that a slice holds about ``rows_per_slice`` rows.
+
+    One count, and a sketch of the column only where more than one slice is needed.
+    """
+    data = df.select(order_value(df, name).alias(_ORDER))
+    n = data.agg(F.count(_ORDER)).first()[0]
+    slices = min(max_slices, math.ceil(n / rows_per_slice))
     if slices < 2:
         return []
-    picked = {points[round(i * MAX_SLICES / slices) - 1] for i in range(1, slices)}
-    return sorted(p for p in picked if p is not None and math.isfinite(p))
+    marks = ", ".join(f"{i / slices!r}D" for i in range(1, slices))
+    points = data.agg(F.expr(f"percentile_approx({_ORDER}, array({marks}), {ACCURACY})")).first()[0]
+    return sorted({p for p in points if math.isfinite(p)})
 
 
 def with_slice(df: DataFrame, name: str, cuts: Sequence[float], out: str = _SLICE) -> DataFrame:
@@ -77,7 +82,8 @@ def running_sums(
 ) -> DataFrame:
     """Add cumulative sums in the given order, peers included, and optional whole-key totals.
 
-    ``cuts`` are cut points of ``order[0]``. The carry table has one row per (key, slice), so
+    ``cuts`` are cut points of ``order[0]``; without any, all rows of a key are one slice, which
+    ``fit_cuts`` allows only up to ``rows_per_slice`` rows in the whole table. The carry table has one row per (key, slice), so
     without a key it holds at most MAX_SLICES + 1 rows and is broadcast.
     """
     totals = dict(totals or {})
@@ -89,6 +95,10 @@ def running_sums(
         return F.col(name).desc() if descending else F.col(name).asc()
 
     in_slice = Window.partitionBy(*keys).orderBy(*[direct(c) for c in order])
+    if not cuts:
+        all_rows = Window.partitionBy(*keys)
+        return sliced.select(*df.columns, *[F.sum(c).over(in_slice).alias(n) for n, c in sums.items()],
+                             *[F.sum(c).over(all_rows).alias(n) for n, c in totals.items()])
     whole = Window.partitionBy(*group or [F.lit(0)])
     before = whole.orderBy(direct(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     parts = sliced.groupBy(*keys).agg(
@@ -119,8 +129,11 @@ def previous_value(
     """Add the ``ts`` of the row before in (ts, key) order within ``by``."""
     sliced = _keyed(df, ts, cuts, by)
     keys = [_KEY, _SLICE]
+    prev = F.lag(ts).over(Window.partitionBy(*keys).orderBy(ts, key))
+    if not cuts:
+        return sliced.select(*df.columns, prev.alias(out))
     last = sliced.groupBy(*keys).agg(F.max(ts).alias("__last"))
     carry = last.select(*[F.col(k).alias(f"__k{k}") for k in keys],
                         F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_SLICE)).alias("__carry"))
-    lagged = sliced.withColumn("__prev", F.lag(ts).over(Window.partitionBy(*keys).orderBy(ts, key)))
+    lagged = sliced.withColumn("__prev", prev)
     return _attach(lagged, carry, keys).select(*df.columns, F.coalesce("__prev", "__carry").alias(out))

@@ -106,17 +106,13 @@ class StratifiedSplit:
         return df.withColumn(out, F.when(self.is_test(), "test").otherwise("train"))
 
 
-def fit_stratified_split(
-    df: DataFrame, key: str, label: str, test: float = TEST_FRACTION, seed: int = SEED
-) -> StratifiedSplit:
-    """Find the border of each class without ranking the class in one task.
+def fit_borders(df: DataFrame, key: str, label: str, quota: Mapping, seed: int = SEED) -> StratifiedSplit:
+    """Borders that give each class its quota of rows, lowest hashes first.
 
-    Counts per hash prefix (at most 65,536 per class) locate the prefix the quota falls into;
-    only the rows of that prefix are ranked. ``key`` must be unique.
+    No class is ranked in one task: counts per hash prefix (at most 65,536 per class) locate the
+    prefix the quota falls into, and only the rows of that prefix are ranked. ``key`` must be unique.
     """
     rows = df.select(F.col(key).alias("k"), F.col(label).alias("y"), hash_hex(key, seed=seed).alias("h"))
-    counts = class_counts(rows, "y")
-    quota = quotas(counts, test)
     need = F.lit(0)
     for value, n in quota.items():
         need = F.when(F.col("y").eqNullSafe(F.lit(value)), n).otherwise(need)
@@ -135,10 +131,17 @@ def fit_stratified_split(
     rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "k"))
     found = (rows.filter(inside).withColumn("rank", rank)
              .filter(F.col("rank") == wanted).select("y", "h", "k").collect())
-    borders = {value: None for value in counts} | {r["y"]: (r["h"], r["k"]) for r in found}
+    borders = {value: None for value in quota} | {r["y"]: (r["h"], r["k"]) for r in found}
     return StratifiedSplit(key, label, seed, borders)
 
 
+def fit_stratified_split(
+    df: DataFrame, key: str, label: str, test: float = TEST_FRACTION, seed: int = SEED
+) -> StratifiedSplit:
+    """Split with equal class shares in both parts."""
+    return fit_borders(df, key, label, quotas(class_counts(df, label), test), seed)
+
+
 def stratified_split(
     df: DataFrame, key: str, label: str, test: float = TEST_FRACTION, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
