@@ -104,7 +104,7 @@ def fit_calibrated_svm(
     it, weighted by the smoothed share.
     """
     fold = F.pmod(F.conv(F.substring(hash_hex(key, seed=seed), 1, 8), 16, 10).cast("bigint"), F.lit(folds))
-    rows = _training(train.withColumn("__fold", fold), features, label, weight, scaler, ["__fold"])
+    rows = _training(train.withColumn("__fold", fold), features, label, weight, scaler, ["__fold"]).cache()
     machines, slicers, sigmoids = [], [], []
     for i in range(folds):
         part, held = rows.filter(F.col("__fold") != i), rows.filter(F.col("__fold") == i)
@@ -126,6 +126,7 @@ def fit_calibrated_svm(
         machines.append(svm)
         slicers.append(slicer)
         sigmoids.append(sigmoid)
+    rows.unpersist()
     stages = [s for trio in zip(machines, slicers, sigmoids, strict=True) for s in trio]
     return _model(stages, features, scaler, "CalibratedLinearSVM",
                   probability=[f"probability_{i}" for i in range(folds)])
