@@ -1 +1,259 @@
-"""Queries."""
+"""Queries that fit models on the tables. Sizes are small here; defaults are full size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlab import models
+from flowlab.models.base import FlowModel, predict
+from flowlab.models.search import materialize, score_run
+from flowlab.operators import balance, scaling, scoring, splitting
+from flowlab.operators.smote import smote
+from flowlab.plans import jobs
+from flowlab.plans.catalog import query
+from flowlab.plans.flows import table, with_labeled
+from flowlab.plans.queries_clean import TRAIN_END, VAL_END, labeled
+from flowlab.session import fresh_folder
+from flowlab.sources.writers import write_csv
+
+FEATURES = ["dst_port", "src_port", "flow_duration", "tot_fwd_pkts", "tot_bwd_pkts", "totlen_fwd_pkts",
+            "pkt_len_std", "flow_byts_s", "syn_flag_cnt", "fwd_urg_flags"]
+
+
+def learn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labeled flows in which two of three attacks carry more backward packets."""
+    shift = F.when((F.col("is_attack") == 1) & (F.col("flow_id") % 3 > 0), 6).otherwise(0)
+    return labeled(spark, sf_dir).withColumn("tot_bwd_pkts", F.col("tot_bwd_pkts") + shift)
+
+
+def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return splitting.split_by_time(learn_rows(spark, sf_dir), "flow_ts", TRAIN_END, VAL_END)
+
+
+def fitted_scores(spark: SparkSession, sf_dir: str, fit, **options) -> DataFrame:
+    """Scores of a plain and a class-weighted fit on the rows after the training period."""
+    train, val, test = parts(spark, sf_dir)
+    rows, held = materialize(balance.with_sample_weight(train), "train"), val.unionByName(test)
+    scaler = scaling.fit_continuous_scaler(rows, FEATURES)
+    out = []
+    for strategy, weight in (("plain", None), ("weighted", "weight")):
+        model = fit(rows, FEATURES, weight=weight, scaler=scaler, **options)
+        values = score_run(model, held, "is_attack")
+        out.append((model.meta["model_type"], strategy, *[float(v) for v in values.values()]))
+    cols = "model_type string, strategy string, " + ", ".join(f"{m} double" for m in values)
+    return spark.createDataFrame(out, cols)
+
+
+@query("e1_fit_logistic")
+def fit_logistic(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_logistic, max_iter=20)
+
+
+@query("e2_fit_random_forest")
+def fit_random_forest(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_random_forest, trees=10, depth=5)
+
+
+@query("e3_fit_gbt")
+def fit_gbt(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_gbt, rounds=5, depth=4)
+
+
+@query("e3_fit_gbt_validated")
+def fit_gbt_validated(spark, sf_dir):
+    """Boosting watches the validation period; scored on the test period."""
+    train, val, test = parts(spark, sf_dir)
+    rows = balance.with_pos_weight(train)
+    model = models.fit_gbt(rows, FEATURES, weight="weight", val=val, rounds=5, depth=4)
+    values = score_run(model, test, "is_attack")
+    return spark.createDataFrame([tuple(float(v) for v in values.values())],
+                                 ", ".join(f"{m} double" for m in values))
+
+
+@query("e4_fit_gbt_deep")
+def fit_gbt_deep(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_gbt, rounds=2, depth=10, kind="DeepGradientBoosting")
+
+
+@query("e5_fit_calibrated_svm")
+def fit_calibrated_svm(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_calibrated_svm, max_iter=5)
+
+
+@query("e6_fit_mlp")
+def fit_mlp(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_mlp, layers=(10, 5), max_iter=20, step=10)
+
+
+@query("e7_fit_gaussian_nb")
+def fit_gaussian_nb(spark, sf_dir):
+    return fitted_scores(spark, sf_dir, models.fit_gaussian_nb)
+
+
+NB_COLS = ["flow_duration", "tot_fwd_pkts", "pkt_len_std"]
+
+
+@query("e7_gaussian_nb_parameters", with_labeled("SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT is_attack, '{c}' AS feature, round(count(*) * 1e0 / (SELECT count(*) FROM labeled), 6) AS prior,
+  round(avg({c}), 4) AS mean, round(var_pop({c} * 1e-2), 4) AS variance FROM labeled GROUP BY is_attack"""
+    for c in NB_COLS) + ") p"))
+def nb_parameters(spark, sf_dir):
+    out = models.gaussian_nb_parameters(labeled(spark, sf_dir), NB_COLS)
+    return out.select("is_attack", "feature", F.round("prior", 6).alias("prior"), F.round("mean", 4).alias("mean"),
+                      F.round(F.col("variance") * 1e-4, 4).alias("variance"))
+
+
+@query("e7_gaussian_nb_weighted", with_labeled("SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT is_attack, '{c}' AS feature, 0.5e0 AS prior, round(avg({c}), 4) AS mean FROM labeled GROUP BY is_attack"""
+    for c in NB_COLS) + ") p"))
+def nb_weighted(spark, sf_dir):
+    rows = balance.with_sample_weight(labeled(spark, sf_dir))
+    out = models.gaussian_nb_parameters(rows, NB_COLS, weight="weight")
+    return out.select("is_attack", "feature", F.round("prior", 6).alias("prior"), F.round("mean", 4).alias("mean"))
+
+
+def _vector_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    cols = [f"x{i}" for i in range(16)]
+    df = table(spark, sf_dir, "embeddings")
+    return df.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)]), cols
+
+
+@query("e8_isolation_forest")
+def isolation_forest(spark, sf_dir):
+    """Share of flows called anomalous, and how far they lie from the rest."""
+    rows = labeled(spark, sf_dir)
+    forest = models.fit_isolation_forest(rows, "flow_id", FEATURES, trees=50)
+    scored = models.score_isolation_forest(rows, forest)
+    return scored.groupBy("prediction").agg(
+        F.count("*").alias("n"), F.round(F.avg("anomaly_score"), 6).alias("avg_score"),
+        F.round(F.avg("flow_duration"), 2).alias("avg_duration"))
+
+
+@query("e8_isolation_forest_vectors")
+def isolation_forest_vectors(spark, sf_dir):
+    rows, cols = _vector_rows(spark, sf_dir)
+    forest = models.fit_isolation_forest(rows, "vec_id", cols, trees=50, contamination=0.05)
+    return models.score_isolation_forest(rows, forest).select(
+        "vec_id", F.round("anomaly_score", 6).alias("anomaly_score"), "prediction")
+
+
+TUNE_SPACE = {"max_depth": ("int", 2, 4), "learning_rate": ("log", 0.01, 0.3), "n_estimators": ("int", 2, 4),
+              "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
+              "gamma": ("float", 0.0, 0.01), "min_child_weight": ("int", 1, 10),
+              "reg_alpha": ("float", 0.0, 10.0), "reg_lambda": ("float", 0.0, 10.0)}
+
+
+@query("e9_tune")
+def tune(spark, sf_dir):
+    train, val, _ = parts(spark, sf_dir)
+    trials, _ = models.tune(train, val, FEATURES, space=TUNE_SPACE, n=3)
+    return trials.select("trial", F.round("pr_auc", 6).alias("pr_auc"),
+                         F.map_values("params").alias("params"))
+
+
+GRID_OPTIONS = {"LR": {"max_iter": 10}, "RF": {"trees": 5, "depth": 4}, "XGB": {"rounds": 2, "depth": 3}}
+
+
+def grid(spark, sf_dir, **more):
+    train, val, test = parts(spark, sf_dir)
+    out = fresh_folder(spark, "models")
+    board, model = jobs.train_best(train, val.unionByName(test), out, FEATURES, options=GRID_OPTIONS, **more)
+    return board, model, out
+
+
+@query("e10_train_grid")
+def train_grid(spark, sf_dir):
+    """Six runs of three families and both strategies, best first."""
+    board, _, _ = grid(spark, sf_dir)
+    return board.drop("train_time")
+
+
+@query("e12_save_model")
+def save_and_load(spark, sf_dir):
+    """Rows on which a reloaded model scores otherwise than the saved one: none."""
+    _, model, out = grid(spark, sf_dir, families=("LR",), strategies=("Weighted",))
+    rows = learn_rows(spark, sf_dir)
+    again = models.load_model(spark, f"{out}/best_model")
+    here = predict(rows, model).select("flow_id", F.col("attack_probability").alias("a"))
+    there = predict(rows, again).select("flow_id", F.col("attack_probability").alias("b"))
+    return here.join(there, "flow_id").agg(
+        F.count("*").alias("n"), F.count_if(F.col("a") != F.col("b")).alias("n_different"))
+
+
+@query("e13_log_run", with_labeled("""
+SELECT 'share' AS run_name, count(*) * 1e0 AS n_flows, round(avg(is_attack), 9) AS attack_share FROM labeled"""))
+def log_run(spark, sf_dir):
+    row = labeled(spark, sf_dir).agg(F.count("*").alias("n"), F.avg("is_attack").alias("s")).first()
+    root = fresh_folder(spark, "runs")
+    models.log_run(spark, root, "share", {"table": "flows"}, {"n_flows": row["n"], "attack_share": row["s"]},
+                   {"kind": "profile"})
+    return models.read_runs(spark, root).select("run_name", "n_flows", F.round("attack_share", 9).alias("attack_share"))
+
+
+def share_model(spark, sf_dir) -> tuple[FlowModel, DataFrame]:
+    rows = learn_rows(spark, sf_dir)
+    model = models.fit_gaussian_nb(rows, FEATURES, scaler=scaling.fit_continuous_scaler(rows, FEATURES))
+    return model, rows
+
+
+@query("f10_feature_importance")
+def feature_importance(spark, sf_dir):
+    train, _, _ = parts(spark, sf_dir)
+    model = models.fit_random_forest(train, FEATURES, trees=10, depth=5)
+    return models.feature_importance(model, spark, 10)
+
+
+@query("g1_predict")
+def predict_flows(spark, sf_dir):
+    model, rows = share_model(spark, sf_dir)
+    return predict(rows, model, only_features=True, keep=["flow_id"]).select(
+        "flow_id", F.round("attack_probability", 6).alias("attack_probability"), "prediction")
+
+
+@query("g3_run_batch")
+def run_batch(spark, sf_dir):
+    """CSV flows through a stored model to CSV predictions; the summary."""
+    model, rows = share_model(spark, sf_dir)
+    root = fresh_folder(spark, "batch")
+    models.save_model(spark, model, f"{root}/model", {"model_name": "NB_Weighted", "strategy": "Weighted"})
+    write_csv(rows.select("flow_id", "label", *FEATURES[:8]), f"{root}/flows")
+    return jobs.run_batch(spark, f"{root}/flows", f"{root}/model", f"{root}/predictions").drop(
+        "timestamp", "input_file")
+
+
+@query("g4_model_info", with_labeled("""
+SELECT 'GaussianNaiveBayes' AS model_type, 'NB_Weighted' AS model_name, 'Weighted' AS strategy, 10 AS n_features,
+  round(avg(is_attack), 9) AS attack_share FROM labeled"""))
+def model_info(spark, sf_dir):
+    model, rows = share_model(spark, sf_dir)
+    share = rows.agg(F.avg("is_attack")).first()[0]
+    path = fresh_folder(spark, "model")
+    models.save_model(spark, model, path, {"model_name": "NB_Weighted", "strategy": "Weighted",
+                                           "metrics": {"attack_share": share}})
+    return models.model_info(spark, path).select(
+        "model_type", "model_name", "strategy", "n_features", F.round(F.col("metrics")["attack_share"], 9).alias("attack_share"))
+
+
+@query("c20_smote")
+def smote_balance(spark, sf_dir):
+    """Rows per class, real and synthetic; both classes come out equally large."""
+    train, _, _ = parts(spark, sf_dir)
+    out = smote(train, "flow_id", "is_attack", FEATURES)
+    return out.groupBy("is_attack", "is_synthetic").agg(
+        F.count("*").alias("n"), F.round(F.avg("flow_duration"), 2).alias("avg_duration"),
+        F.round(F.avg("pkt_len_std"), 4).alias("avg_len_std"))
+
+
+@query("c20_smote_blocks")
+def smote_blocks(spark, sf_dir):
+    """The same search in blocks of 128 points: every class grows to the size of the largest."""
+    rows, cols = _vector_rows(spark, sf_dir)
+    out = smote(rows, "vec_id", "label", cols, block_rows=128)
+    return out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("n_synthetic"))
+
+
+@query("g1_predict_summary")
+def predict_summary(spark, sf_dir):
+    model, rows = share_model(spark, sf_dir)
+    return scoring.batch_summary(predict(rows, model))
