@@ -1,6 +1,6 @@
 """Distributed model fits, scoring, search and storage."""
 
-from flowlab.models.base import FlowModel, feature_array, predict  # noqa: F401
+from flowlab.models.base import FlowModel, predict  # noqa: F401
 from flowlab.models.classifiers import (  # noqa: F401
     fit_calibrated_svm,
     fit_gaussian_nb,

@@ -2,37 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.functions import finite
 from flowlab.operators.cleaning import align_features
 from flowlab.operators.scoring import HIGH_CONFIDENCE, THRESHOLD, enrich
+from flowlab.operators.vectors import Scaler, feature_array
 
 VECTOR = "__features"
 # Columns that are no features in a labeled flow table.
 NOT_FEATURES = ("Label", "label", "attack_type", "is_attack")
 
-Scaler = Mapping[str, tuple[float, float]]
-
-
-def feature_array(df: DataFrame, features: Sequence[str], scaler: Scaler | None = None) -> Column:
-    """Array of doubles: absent, missing and infinite values count as 0, then scaling applies."""
-    cells = []
-    for c in features:
-        x = F.coalesce(finite(df, c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0)
-        if scaler and c in scaler:
-            mean, std = scaler[c]
-            x = (x - F.lit(mean)) / F.lit(std)
-        cells.append(x)
-    return F.array(*cells)
-
-
 def with_vector(df: DataFrame, features: Sequence[str], scaler: Scaler | None = None) -> DataFrame:
     return df.withColumn(VECTOR, array_to_vector(feature_array(df, features, scaler)))
 

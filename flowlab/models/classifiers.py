@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.functions import hash_hex
-from flowlab.models.base import VECTOR, FlowModel, Scaler, feature_array, with_vector
+from flowlab.models.base import VECTOR, FlowModel, with_vector
 from flowlab.operators.features import class_counts
+from flowlab.operators.vectors import Scaler, feature_array
 
 SEED = 42
 

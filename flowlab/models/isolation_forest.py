@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowlab.models.base import Scaler, feature_array
 from flowlab.operators.quantiles import exact_quantiles
+from flowlab.operators.vectors import Scaler, feature_array
 from flowlab.session import fresh_folder
 
 # Default forest size, rows per tree and share of anomalies.

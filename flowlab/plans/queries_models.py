@@ -169,7 +169,7 @@ def train_grid(spark, sf_dir):
     return board.drop("train_time")
 
 
-@query("e12_save_model")
+@query("e12_save_model", with_labeled("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM labeled"))
 def save_and_load(spark, sf_dir):
     """Rows on which a reloaded model scores otherwise than the saved one: none."""
     _, model, out = grid(spark, sf_dir, families=("LR",), strategies=("Weighted",))
@@ -191,12 +191,6 @@ def log_run(spark, sf_dir):
     return models.read_runs(spark, root).select("run_name", "n_flows", F.round("attack_share", 9).alias("attack_share"))
 
 
-def share_model(spark, sf_dir) -> tuple[FlowModel, DataFrame]:
-    rows = learn_rows(spark, sf_dir)
-    model = models.fit_gaussian_nb(rows, FEATURES, scaler=scaling.fit_continuous_scaler(rows, FEATURES))
-    return model, rows
-
-
 @query("f10_feature_importance")
 def feature_importance(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
@@ -204,56 +198,99 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(model, spark, 10)
 
 
-@query("g1_predict")
+# The posterior of a Gaussian naive Bayes over NB_COLS, written out.
+POSTERIOR_SQL = f"""
+WITH st AS (SELECT is_attack AS y, count(*) * 1e0 / (SELECT count(*) FROM labeled) AS prior,
+  {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) AS v_{c}' for c in NB_COLS)} FROM labeled GROUP BY 1),
+sm AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in NB_COLS)}) AS eps FROM labeled),
+ll AS (SELECT flow_id, y, ln(prior) {' '.join(
+    f"- ln(2 * pi() * (v_{c} + eps)) / 2 - ({c} - m_{c}) * ({c} - m_{c}) / (2 * (v_{c} + eps))" for c in NB_COLS)} AS l
+  FROM labeled, st, sm),
+post AS (SELECT flow_id, 1 / (1 + exp(max(l) FILTER (y = 0) - max(l) FILTER (y = 1))) AS p FROM ll GROUP BY flow_id)"""
+
+
+def bayes_model(spark, sf_dir) -> tuple[FlowModel, DataFrame]:
+    rows = labeled(spark, sf_dir)
+    return models.fit_gaussian_nb(rows, NB_COLS), rows
+
+
+@query("g1_predict", with_labeled(f"""{POSTERIOR_SQL}
+SELECT flow_id, round(p, 6) AS attack_probability, CASE WHEN p >= 0.5e0 THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN p >= 0.5e0 THEN 'attack' ELSE 'benign' END AS prediction_label,
+  round(greatest(p, 1 - p), 6) AS confidence, p >= 0.8e0 AS high_confidence_attack FROM post"""))
 def predict_flows(spark, sf_dir):
-    model, rows = share_model(spark, sf_dir)
+    model, rows = bayes_model(spark, sf_dir)
     return predict(rows, model, only_features=True, keep=["flow_id"]).select(
-        "flow_id", F.round("attack_probability", 6).alias("attack_probability"), "prediction")
+        "flow_id", F.round("attack_probability", 6).alias("attack_probability"), "prediction",
+        "prediction_label", F.round("confidence", 6).alias("confidence"), "high_confidence_attack")
 
 
-@query("g3_run_batch")
+@query("g3_run_batch", with_labeled(f"""{POSTERIOR_SQL}
+SELECT 'NB_plain' AS model_name, 'GaussianNaiveBayes' AS model_type, count(*) AS total_flows,
+  count(*) FILTER (p >= 0.5e0) AS attacks_detected, count(*) FILTER (p < 0.5e0) AS benign_flows,
+  round(count(*) FILTER (p >= 0.5e0) * 100e0 / count(*), 2) AS attack_rate_percent,
+  count(*) FILTER (p >= 0.8e0) AS high_confidence_attacks,
+  round(coalesce(avg(p) FILTER (p >= 0.5e0), 0e0), 4) AS avg_attack_probability,
+  round(max(p), 4) AS max_attack_probability FROM post"""))
 def run_batch(spark, sf_dir):
     """CSV flows through a stored model to CSV predictions; the summary."""
-    model, rows = share_model(spark, sf_dir)
+    model, rows = bayes_model(spark, sf_dir)
     root = fresh_folder(spark, "batch")
-    models.save_model(spark, model, f"{root}/model", {"model_name": "NB_Weighted", "strategy": "Weighted"})
-    write_csv(rows.select("flow_id", "label", *FEATURES[:8]), f"{root}/flows")
+    models.save_model(spark, model, f"{root}/model", {"model_name": "NB_plain", "strategy": "none"})
+    write_csv(rows.select("flow_id", "label", *FEATURES[:4], "pkt_len_std"), f"{root}/flows")
     return jobs.run_batch(spark, f"{root}/flows", f"{root}/model", f"{root}/predictions").drop(
         "timestamp", "input_file")
 
 
 @query("g4_model_info", with_labeled("""
-SELECT 'GaussianNaiveBayes' AS model_type, 'NB_Weighted' AS model_name, 'Weighted' AS strategy, 10 AS n_features,
+SELECT 'GaussianNaiveBayes' AS model_type, 'NB_plain' AS model_name, 'none' AS strategy, 3 AS n_features,
   round(avg(is_attack), 9) AS attack_share FROM labeled"""))
 def model_info(spark, sf_dir):
-    model, rows = share_model(spark, sf_dir)
+    model, rows = bayes_model(spark, sf_dir)
     share = rows.agg(F.avg("is_attack")).first()[0]
     path = fresh_folder(spark, "model")
-    models.save_model(spark, model, path, {"model_name": "NB_Weighted", "strategy": "Weighted",
+    models.save_model(spark, model, path, {"model_name": "NB_plain", "strategy": "none",
                                            "metrics": {"attack_share": share}})
     return models.model_info(spark, path).select(
         "model_type", "model_name", "strategy", "n_features", F.round(F.col("metrics")["attack_share"], 9).alias("attack_share"))
 
 
-@query("c20_smote")
+@query("c20_smote", with_labeled(f"""
+WITH c AS (SELECT is_attack, count(*) AS n FROM labeled WHERE flow_ts < TIMESTAMP '{TRAIN_END}' GROUP BY 1)
+SELECT is_attack, false AS is_synthetic, n, n AS n_with_key FROM c
+UNION ALL SELECT is_attack, true, (SELECT max(n) FROM c) - n, 0 FROM c WHERE n < (SELECT max(n) FROM c)"""))
 def smote_balance(spark, sf_dir):
     """Rows per class, real and synthetic; both classes come out equally large."""
     train, _, _ = parts(spark, sf_dir)
     out = smote(train, "flow_id", "is_attack", FEATURES)
     return out.groupBy("is_attack", "is_synthetic").agg(
-        F.count("*").alias("n"), F.round(F.avg("flow_duration"), 2).alias("avg_duration"),
-        F.round(F.avg("pkt_len_std"), 4).alias("avg_len_std"))
+        F.count("*").alias("n"), F.count("flow_id").alias("n_with_key"))
 
 
-@query("c20_smote_blocks")
+@query("c20_smote_blocks", """
+WITH c AS (SELECT CAST(label = 0 AS INT) AS is_zero, count(*) AS n FROM embeddings GROUP BY 1)
+SELECT is_zero, (SELECT max(n) FROM c) AS n, (SELECT max(n) FROM c) - n AS n_synthetic FROM c""")
 def smote_blocks(spark, sf_dir):
-    """The same search in blocks of 128 points: every class grows to the size of the largest."""
+    """The search in blocks of 16 points: the small class grows to the size of the large one."""
     rows, cols = _vector_rows(spark, sf_dir)
-    out = smote(rows, "vec_id", "label", cols, block_rows=128)
-    return out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("n_synthetic"))
+    rows = rows.withColumn("is_zero", (F.col("label") == 0).cast("int"))
+    out = smote(rows, "vec_id", "is_zero", cols, block_rows=16)
+    return out.groupBy("is_zero").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("n_synthetic"))
+
+
+@query("c20_smote_spread")
+def smote_spread(spark, sf_dir):
+    """Means of real and synthetic attack flows; interpolation keeps them close."""
+    train, _, _ = parts(spark, sf_dir)
+    out = smote(train, "flow_id", "is_attack", FEATURES).filter(F.col("is_attack") == 1)
+    return out.groupBy("is_synthetic").agg(
+        F.round(F.avg("flow_duration"), 2).alias("avg_duration"), F.round(F.avg("pkt_len_std"), 4).alias("avg_len_std"))
 
 
 @query("g1_predict_summary")
 def predict_summary(spark, sf_dir):
-    model, rows = share_model(spark, sf_dir)
+    """Totals of a class-weighted logistic regression over all flows."""
+    rows = balance.with_sample_weight(learn_rows(spark, sf_dir))
+    model = models.fit_logistic(rows, FEATURES, weight="weight", max_iter=10,
+                                scaler=scaling.fit_continuous_scaler(rows, FEATURES))
     return scoring.batch_summary(predict(rows, model))
