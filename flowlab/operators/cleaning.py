@@ -130,8 +130,8 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 
 def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows and removed rows in one grouped scan."""
-    groups = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("n"))
-    total, distinct = F.coalesce(F.sum("n"), F.lit(0)), F.count("*")
+    groups = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("__n"))
+    total, distinct = F.coalesce(F.sum("__n"), F.lit(0)), F.count("*")
     return groups.agg(total.alias("n_rows"), distinct.alias("n_distinct"),
                       (total - distinct).alias("n_removed"))
 
