@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from flowlab.operators.quantiles import exact_quantiles
 from flowlab.operators.vectors import Scaler, feature_array
-from flowlab.session import fresh_folder
+from flowlab.session import drop_folder, fresh_folder
 
 # Default forest size, rows per tree and share of anomalies.
 TREES = 100
@@ -155,6 +155,7 @@ def fit_isolation_forest(
     forest.score(df).select("anomaly").write.parquet(path)
     scores = spark.read.parquet(path)
     forest.offset = exact_quantiles(scores, {"anomaly": [1.0 - contamination]})["anomaly"][0] or 0.5
+    drop_folder(spark, path)
     return forest
 
 

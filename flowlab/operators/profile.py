@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from flowlab.functions import finite, is_missing, present
 from flowlab.operators.running import fit_cuts, order_value, running_sums
 
 COLUMNS_PER_JOB = 100
+PAIRS_PER_JOB = 300
 
 
 def long_aggregate(
@@ -22,10 +24,7 @@ def long_aggregate(
         cells = [F.struct(F.lit(c).alias("column_name"), *[f(c).alias(m) for m, f in measures.items()])
                  for c in cols[i:i + COLUMNS_PER_JOB]]
         parts.append(df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def quality_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -68,12 +67,13 @@ def imbalance_ratio(df: DataFrame, label: str = "Label") -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of each pair of columns, over rows where both are present."""
     data = df.select(*[present(df, c).cast("double").alias(c) for c in cols])
-    cells = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            cells.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                  F.corr(a, b).alias("corr")))
-    return data.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    parts = []
+    for i in range(0, len(pairs), PAIRS_PER_JOB):
+        cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr"))
+                 for a, b in pairs[i:i + PAIRS_PER_JOB]]
+        parts.append(data.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def histogram(

@@ -79,14 +79,19 @@ def running_sums(
     descending: bool = False,
     cuts: Sequence[float] = (),
     totals: Mapping[str, Column] | None = None,
+    largest_before: Mapping[str, Column] | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Add cumulative sums in the given order, peers included, and optional whole-key totals.
-
-    ``cuts`` are cut points of ``order[0]``; without any, all rows of a key are one slice, which
-    ``fit_cuts`` allows only up to ``rows_per_slice`` rows in the whole table. The carry table has one row per (key, slice), so
-    without a key it holds at most MAX_SLICES + 1 rows and is broadcast.
+    """Add running values in the given order, all in one shuffle of the rows.
+
+    ``sums`` are cumulative sums, rows equal in ``order`` included; ``largest_before`` is the
+    largest value in the rows strictly before, with ``tie`` settling the order of equal rows;
+    ``totals`` are sums over the whole key. ``cuts`` are cut points of ``order[0]``; without any,
+    all rows of a key are one slice, which ``fit_cuts`` allows only up to ``rows_per_slice`` rows in
+    the whole table. The carry table has one row per (key, slice), so without a key it holds at
+    most MAX_SLICES + 1 rows and is broadcast.
     """
-    totals = dict(totals or {})
+    totals, largest = dict(totals or {}), dict(largest_before or {})
     sliced = _keyed(df, order[0], cuts, by)
     group = [_KEY] if by else []
     keys = [*group, _SLICE]
@@ -94,26 +99,33 @@ def running_sums(
     def direct(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
-    in_slice = Window.partitionBy(*keys).orderBy(*[direct(c) for c in order])
-    if not cuts:
-        all_rows = Window.partitionBy(*keys)
-        return sliced.select(*df.columns, *[F.sum(c).over(in_slice).alias(n) for n, c in sums.items()],
-                             *[F.sum(c).over(all_rows).alias(n) for n, c in totals.items()])
     whole = Window.partitionBy(*group or [F.lit(0)])
+    in_slice = Window.partitionBy(*keys)
+    upto = in_slice.orderBy(*[direct(c) for c in order])
+    above = in_slice.orderBy(*[direct(c) for c in [*order, *tie]]).rowsBetween(Window.unboundedPreceding, -1)
+    if not cuts:
+        return sliced.select(*df.columns, *[F.sum(c).over(upto).alias(n) for n, c in sums.items()],
+                             *[F.max(c).over(above).alias(n) for n, c in largest.items()],
+                             *[F.sum(c).over(in_slice).alias(n) for n, c in totals.items()])
     before = whole.orderBy(direct(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     parts = sliced.groupBy(*keys).agg(
         *[F.sum(c).alias(f"__s_{name}") for name, c in sums.items()],
+        *[F.max(c).alias(f"__m_{name}") for name, c in largest.items()],
         *[F.sum(c).alias(f"__t_{name}") for name, c in totals.items()],
     )
     carry = parts.select(
         *[F.col(k).alias(f"__k{k}") for k in keys],
         *[F.coalesce(F.sum(f"__s_{name}").over(before), F.lit(0)).alias(f"__c_{name}") for name in sums],
+        *[F.max(f"__m_{name}").over(before).alias(f"__c_{name}") for name in largest],
         *[F.sum(f"__t_{name}").over(whole).alias(name) for name in totals],
     )
-    running = sliced.withColumns({f"__r_{name}": F.sum(c).over(in_slice) for name, c in sums.items()})
+    running = sliced.withColumns({
+        **{f"__r_{name}": F.sum(c).over(upto) for name, c in sums.items()},
+        **{f"__r_{name}": F.max(c).over(above) for name, c in largest.items()}})
     return _attach(running, carry if by else F.broadcast(carry), keys).select(
         *df.columns,
         *[(F.col(f"__r_{name}") + F.col(f"__c_{name}")).alias(name) for name in sums],
+        *[F.greatest(f"__r_{name}", f"__c_{name}").alias(name) for name in largest],
         *totals,
     )
 
@@ -127,13 +139,4 @@ def previous_value(
     cuts: Sequence[float] = (),
 ) -> DataFrame:
     """Add the ``ts`` of the row before in (ts, key) order within ``by``."""
-    sliced = _keyed(df, ts, cuts, by)
-    keys = [_KEY, _SLICE]
-    prev = F.lag(ts).over(Window.partitionBy(*keys).orderBy(ts, key))
-    if not cuts:
-        return sliced.select(*df.columns, prev.alias(out))
-    last = sliced.groupBy(*keys).agg(F.max(ts).alias("__last"))
-    carry = last.select(*[F.col(k).alias(f"__k{k}") for k in keys],
-                        F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_SLICE)).alias("__carry"))
-    lagged = sliced.withColumn("__prev", prev)
-    return _attach(lagged, carry, keys).select(*df.columns, F.coalesce("__prev", "__carry").alias(out))
+    return running_sums(df, [ts], {}, by, cuts=cuts, largest_before={out: F.col(ts)}, tie=[key])

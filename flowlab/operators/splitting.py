@@ -34,12 +34,16 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = SEED) -> D
     return df.filter(F.substring(hash_hex(key, seed=seed), 1, 8) < border)
 
 
+def _border(df: DataFrame, ts: str, value: str) -> Column:
+    """A time literal of the column's own type, so that comparisons reach the scan."""
+    kind = df.schema[ts].dataType.simpleString()
+    return F.lit(value).cast("timestamp" if kind == "string" else kind)
+
+
 def time_slice(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows with start <= ts < end; on a parsed column the filter reaches the scan."""
     when = parsed_time(df, ts)
-    kind = df.schema[ts].dataType.simpleString()
-    kind = "timestamp" if kind == "string" else kind
-    return df.filter((when >= F.lit(start).cast(kind)) & (when < F.lit(end).cast(kind)))
+    return df.filter((when >= _border(df, ts, start)) & (when < _border(df, ts, end)))
 
 
 def with_time_split(
@@ -52,8 +56,8 @@ def with_time_split(
 ) -> DataFrame:
     """Column train / val / test by half-open time ranges; rows without a valid time are dropped."""
     when = parsed_time(df, ts, formats)
-    part = (F.when(when < F.lit(train_end).cast("timestamp"), "train")
-            .when(when < F.lit(val_end).cast("timestamp"), "val")
+    part = (F.when(when < _border(df, ts, train_end), "train")
+            .when(when < _border(df, ts, val_end), "val")
             .otherwise("test"))
     return df.filter(when.isNotNull()).withColumn(out, part)
 
@@ -65,11 +69,10 @@ def split_by_time(
     val_end: str = VAL_END,
     formats: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Train, validation and test frames."""
-    marked = with_time_split(df, ts, train_end, val_end, "__split", formats)
-    train, val, test = (marked.filter(F.col("__split") == part).drop("__split")
-                        for part in ("train", "val", "test"))
-    return train, val, test
+    """Train, validation and test frames, each a plain time range on the source."""
+    when = parsed_time(df, ts, formats)
+    first, second = _border(df, ts, train_end), _border(df, ts, val_end)
+    return df.filter(when < first), df.filter((when >= first) & (when < second)), df.filter(when >= second)
 
 
 def quotas(counts: Mapping, test: float = TEST_FRACTION) -> dict:

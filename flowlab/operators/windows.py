@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.ordering import with_gap
 from flowlab.operators.running import ROWS_PER_SLICE, fit_cuts, running_sums
 
 # Default window, slide and lifetime of a source's context.
@@ -59,25 +58,33 @@ def trailing_sums(
     sums: Mapping[str, Column],
     seconds: int = HOUR_SECONDS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    previous: str | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Per row, sums over the rows of the same key in the trailing window, both ends included.
 
     A range frame recomputes its rows for every output row. Here each row enters the running sum
     at its time and leaves it again after the window, so the work is linear, and the running
     sum is cut into slices, so a hot key is spread over tasks. Sums must be integer or decimal,
-    where taking back is exact.
+    where taking back is exact. ``previous`` names an extra column for the microseconds of the
+    row before, found in the same pass, with ``tie`` ordering rows of one instant.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     row = F.struct(*df.columns)
     values = {f"__v_{n}": c for n, c in sums.items()}
-    enter = F.struct(micros.alias("__t"), F.lit(0).alias("__kind"), row.alias("__row"),
+    rank = F.col(tie) if tie else F.lit(0)
+    enter = F.struct(micros.alias("__t"), F.lit(0).alias("__kind"), rank.alias("__tie"), row.alias("__row"),
                      *[v.alias(n) for n, v in values.items()])
     leave = F.struct((micros + F.lit(seconds * 1_000_000)).alias("__t"), F.lit(1).alias("__kind"),
-                     F.when(F.lit(False), row).alias("__row"), *[(-v).alias(n) for n, v in values.items()])
-    steps = df.select(*by, F.inline(F.array(enter, leave)))
+                     rank.alias("__tie"), F.when(F.lit(False), row).alias("__row"),
+                     *[(-v).alias(n) for n, v in values.items()])
+    steps = df.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.inline(F.array(enter, leave)))
     cuts = fit_cuts(df, ts, rows_per_slice)
-    run = running_sums(steps, ["__t", "__kind"], {n: F.col(f"__v_{n}") for n in sums}, by=by, cuts=cuts)
-    return run.filter(F.col("__kind") == 0).select("__row.*", *sums)
+    entered = F.when(F.col("__kind") == 0, F.col("__t"))
+    run = running_sums(
+        steps, ["__t", "__kind"], {n: F.col(f"__v_{n}") for n in sums}, by=[f"__by_{c}" for c in by], cuts=cuts,
+        largest_before={previous: entered} if previous else None, tie=["__tie"])
+    return run.filter(F.col("__kind") == 0).select("__row.*", *sums, *([previous] if previous else []))
 
 
 def source_context(
@@ -96,8 +103,8 @@ def source_context(
     """
     recent = trailing_sums(df, ts, [by], {
         "recent_flows": F.lit(1).cast("bigint"), "recent_pkts": F.col(pkts).cast("bigint")},
-        seconds, rows_per_slice)
-    out = with_gap(recent, ts, by, key, "gap_s", rows_per_slice)
+        seconds, rows_per_slice, "__previous", key)
+    gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.col("__previous")) / F.lit(1e6)
     if ttl_seconds is not None:
-        out = out.withColumn("gap_s", F.when(F.col("gap_s") <= ttl_seconds, F.col("gap_s")))
-    return out
+        gap = F.when(gap <= ttl_seconds, gap)
+    return recent.withColumn("gap_s", gap).drop("__previous")

@@ -53,3 +53,11 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``fresh_folder`` named, on whatever file system it lies."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -34,12 +34,15 @@ def run_source_context(
     """Add the context of each flow's source as flows arrive.
 
     Each micro-batch runs the batch operator over the new rows and the rows still in reach,
-    which are kept as a table per batch in ``state``. So a hot source is spread over tasks as in
-    batch, and a batch that is repeated after a failure reads the same state and overwrites its
-    own output. Rows older than the newest seen by more than the delay are dropped as late.
+    which are kept as one small table per batch in ``state``: the rows of the trailing window, and
+    of older rows only the last per source. So a hot source is spread over tasks as in batch, and
+    a batch repeated after a failure reads the same state and overwrites its own output. Rows
+    older than the newest seen by more than the delay are dropped as late.
     """
     keep = [key, by, ts, pkts]
-    reach = max(seconds, ttl_seconds) + delay_seconds
+
+    def ago(newest, back: int):
+        return F.lit(newest) - F.make_interval(secs=F.lit(back))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -48,8 +51,7 @@ def run_source_context(
             held = spark.read.parquet(f"{state}/{batch_id - 1}")
             newest = held.agg(F.max(ts)).first()[0]
             if newest is not None:
-                border = F.lit(newest) - F.make_interval(secs=F.lit(delay_seconds))
-                new = new.filter(F.col(ts) >= border)
+                new = new.filter(F.col(ts) >= ago(newest, delay_seconds))
             new = new.unionByName(held.withColumn("__new", F.lit(False)), allowMissingColumns=True)
         rows = new.persist()
         context = source_context(rows, ts, by, key, pkts, seconds, ttl_seconds)
@@ -57,7 +59,11 @@ def run_source_context(
         newest = rows.agg(F.max(ts)).first()[0]
         tail = rows.select(*keep)
         if newest is not None:
-            tail = tail.filter(F.col(ts) >= F.lit(newest) - F.make_interval(secs=F.lit(reach)))
+            window = ago(newest, seconds + delay_seconds)
+            alive = tail.filter((F.col(ts) < window) & (F.col(ts) >= ago(newest, ttl_seconds + delay_seconds)))
+            last = alive.groupBy(by).agg(F.max(F.struct(ts, key, pkts)).alias("__last")).select(
+                f"__last.{key}", by, f"__last.{ts}", f"__last.{pkts}")
+            tail = tail.filter(F.col(ts) >= window).unionByName(last)
         tail.write.mode("overwrite").parquet(f"{state}/{batch_id}")
         rows.unpersist()
 
