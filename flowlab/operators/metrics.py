@@ -134,25 +134,34 @@ def _thin(points: DataFrame, by: Sequence[str], bins: int | None) -> DataFrame:
             .select("__row.*"))
 
 
+def _anchored(curve: DataFrame, by: Sequence[str], values: Mapping[str, float]) -> DataFrame:
+    """The curve plus one end point per key, above every score."""
+    ends = curve.groupBy(*by).agg(F.lit(float("inf")).alias("threshold")).withColumns(
+        {c: F.lit(v) for c, v in values.items()})
+    return curve.unionByName(ends)
+
+
 def pr_curve(
     pred: DataFrame, label: str = "is_attack", score: str = "p", by: Sequence[str] = (),
-    bins: int | None = None,
+    bins: int | None = None, anchor: bool = False,
 ) -> DataFrame:
-    """Precision and recall at each distinct threshold."""
+    """Precision and recall at each distinct threshold; ``anchor`` adds the end (recall 0, precision 1)."""
     points = _thin(cumulative_counts(pred, label, score, by), by, bins)
     ctp, cfp = F.col("ctp"), F.col("cfp")
-    return points.select(*by, "threshold", (ctp / (ctp + cfp)).alias("precision"),
-                         _ratio(ctp, F.col("n_pos")).alias("recall"))
+    curve = points.select(*by, "threshold", (ctp / (ctp + cfp)).alias("precision"),
+                          _ratio(ctp, F.col("n_pos")).alias("recall"))
+    return _anchored(curve, by, {"precision": 1.0, "recall": 0.0}) if anchor else curve
 
 
 def roc_curve(
     pred: DataFrame, label: str = "is_attack", score: str = "p", by: Sequence[str] = (),
-    bins: int | None = None,
+    bins: int | None = None, anchor: bool = False,
 ) -> DataFrame:
-    """False and true positive rate at each distinct threshold."""
+    """False and true positive rate at each distinct threshold; ``anchor`` adds the origin."""
     points = _thin(cumulative_counts(pred, label, score, by), by, bins)
-    return points.select(*by, "threshold", _ratio(F.col("cfp"), F.col("n_neg")).alias("fpr"),
-                         _ratio(F.col("ctp"), F.col("n_pos")).alias("tpr"))
+    curve = points.select(*by, "threshold", _ratio(F.col("cfp"), F.col("n_neg")).alias("fpr"),
+                          _ratio(F.col("ctp"), F.col("n_pos")).alias("tpr"))
+    return _anchored(curve, by, {"fpr": 0.0, "tpr": 0.0}) if anchor else curve
 
 
 def evaluate(

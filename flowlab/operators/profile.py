@@ -39,7 +39,7 @@ def quality_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 def missing_percent(df: DataFrame, top: int = 20, cols: Sequence[str] | None = None) -> DataFrame:
     """Share of missing values in percent, highest first, columns with none left out."""
     shares = long_aggregate(df, list(cols or df.columns), {
-        "missing_pct": lambda c: F.count_if(is_missing(df, c)) * 100.0 / F.count("*"),
+        "missing_pct": lambda c: F.avg(is_missing(df, c).cast("double")) * 100.0,
     })
     return (shares.filter(F.col("missing_pct") > 0)
             .orderBy(F.col("missing_pct").desc(), "column_name").limit(top))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,9 +78,10 @@ def split_by_time(
 
 def quotas(counts: Mapping, test: float = TEST_FRACTION) -> dict:
     """Test rows per class by largest remainder, summing to ceil(test * n)."""
-    exact = {c: n * test for c, n in counts.items()}
-    quota = {c: math.floor(x + 1e-9) for c, x in exact.items()}
-    left = math.ceil(sum(counts.values()) * test - 1e-9) - sum(quota.values())
+    share = Fraction(str(test))
+    exact = {c: n * share for c, n in counts.items()}
+    quota = {c: math.floor(x) for c, x in exact.items()}
+    left = math.ceil(sum(counts.values()) * share) - sum(quota.values())
     by_rest = sorted(exact, key=lambda c: (quota[c] - exact[c], str(c)))
     for c in by_rest[:left]:
         quota[c] += 1

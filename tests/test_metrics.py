@@ -68,6 +68,9 @@ def test_curves_and_thinning(four):
     roc = {r.threshold: (r.fpr, r.tpr) for r in metrics.roc_curve(four).collect()}
     assert roc[0.1] == (1.0, 1.0) and roc[0.4] == (0.5, 0.5)
     assert metrics.roc_curve(four, bins=2).count() == 2
+    ends = metrics.roc_curve(four, anchor=True).filter("threshold = double('infinity')").collect()
+    assert [(r.fpr, r.tpr) for r in ends] == [(0.0, 0.0)]
+    assert metrics.pr_curve(four, anchor=True).count() == 5
 
 
 def test_report_counts_a_class_that_is_only_predicted(frame):
