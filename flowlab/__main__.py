@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("train", help="fit the model grid on feature tables and keep the best")
     p.add_argument("data")
     p.add_argument("out")
-    p.add_argument("--key", required=True)
+    p.add_argument("--key", default=jobs.KEY)
     p.add_argument("--families", nargs="+", default=["LR", "RF", "XGB"])
     p.add_argument("--no-smote", action="store_true")
     p.add_argument("--metric", default="pr_auc")

@@ -128,6 +128,11 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def with_row_key(df: DataFrame, out: str = "flow_key") -> DataFrame:
+    """Key of a table without one: hash of the whole row, unique once duplicates are dropped."""
+    return df.withColumn(out, F.md5(F.to_json(F.struct(*df.columns))))
+
+
 def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows and removed rows in one grouped scan."""
     groups = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("__n"))
@@ -207,14 +212,16 @@ def preprocess(
     label: str = "Label",
     outlier_cols: Sequence[str] = OUTLIER_COLUMNS,
     inf_as_null: bool = True,
+    row_key: str | None = None,
 ) -> DataFrame:
     """Fill, deduplicate, normalise labels and, if asked, remove outliers.
 
-    Lazy except for the outlier bounds; take quality reports before and after as wanted.
+    ``row_key`` names a key column made from the rows that are left, before labels are trimmed,
+    so that it stays unique. Lazy except for the outlier bounds; take quality reports before and
+    after as wanted.
     """
-    clean = (
-        df.transform(fill_missing_zero, inf_as_null=inf_as_null, label=label)
-        .transform(drop_duplicates)
-        .transform(normalize_labels, label)
-    )
+    distinct = df.transform(fill_missing_zero, inf_as_null=inf_as_null, label=label).transform(drop_duplicates)
+    if row_key:
+        distinct = with_row_key(distinct, row_key)
+    clean = distinct.transform(normalize_labels, label)
     return remove_outliers_iqr(clean, outlier_cols) if remove_outliers else clean

@@ -25,10 +25,12 @@ _KEY = "__key"
 
 
 def order_value(df: DataFrame, name: str) -> Column:
-    """A double that sorts like the column; timestamps become epoch microseconds."""
+    """A double that sorts like the column; timestamps become epoch microseconds, dates epoch days."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(name)).cast("double")
     return F.col(name).cast("double")
 
 

@@ -138,6 +138,16 @@ def isolation_forest_vectors(spark, sf_dir):
         "vec_id", F.round("anomaly_score", 6).alias("anomaly_score"), "prediction")
 
 
+@query("e8_isolation_forest_share", """
+SELECT count(*) AS n, count(*) - 1 - CAST(floor(0.95e0 * (count(*) - 1)) AS BIGINT) AS n_attacks FROM embeddings""")
+def isolation_forest_share(spark, sf_dir):
+    """The contamination sets how many rows are called anomalous."""
+    rows, cols = _vector_rows(spark, sf_dir)
+    forest = models.fit_isolation_forest(rows, "vec_id", cols, trees=50, contamination=0.05)
+    return models.score_isolation_forest(rows, forest).agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == 1).alias("n_attacks"))
+
+
 TUNE_SPACE = {"max_depth": ("int", 2, 4), "learning_rate": ("log", 0.01, 0.3), "n_estimators": ("int", 2, 4),
               "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
               "gamma": ("float", 0.0, 0.01), "min_child_weight": ("int", 1, 10),
@@ -158,7 +168,7 @@ GRID_OPTIONS = {"LR": {"max_iter": 10}, "RF": {"trees": 5, "depth": 4}, "XGB": {
 def grid(spark, sf_dir, **more):
     train, val, test = parts(spark, sf_dir)
     out = fresh_folder(spark, "models")
-    board, model = jobs.train_best(train, val.unionByName(test), out, FEATURES, options=GRID_OPTIONS, **more)
+    board, model = jobs.train_best(train, val.unionByName(test), out, FEATURES, "flow_id", options=GRID_OPTIONS, **more)
     return board, model, out
 
 

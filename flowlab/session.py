@@ -55,9 +55,14 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours on whatever file system it lies; none there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder that ``fresh_folder`` named, on whatever file system it lies."""
+    """Remove a folder that ``fresh_folder`` named."""
     if not path.startswith(f"{shared_folder(spark)}/"):
         raise ValueError(f"{path} is not below the shared folder")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    remove_path(spark, path)

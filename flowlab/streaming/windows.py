@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlab.operators.windows import HOUR_SECONDS, source_context
+from flowlab.session import remove_path
 from flowlab.streaming.sources import start
 
 
@@ -41,22 +42,25 @@ def run_source_context(
     """
     keep = [key, by, ts, pkts]
 
-    def ago(newest, back: int):
-        return F.lit(newest) - F.make_interval(secs=F.lit(back))
+    def newest_of(rows: DataFrame) -> int | None:
+        return rows.agg(F.unix_micros(F.max(ts))).first()[0]
+
+    def ago(newest: int, back: int):
+        return F.timestamp_micros(F.lit(newest - back * 1_000_000))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = batch.withColumn("__new", F.lit(True))
         if batch_id:
             held = spark.read.parquet(f"{state}/{batch_id - 1}")
-            newest = held.agg(F.max(ts)).first()[0]
+            newest = newest_of(held)
             if newest is not None:
                 new = new.filter(F.col(ts) >= ago(newest, delay_seconds))
             new = new.unionByName(held.withColumn("__new", F.lit(False)), allowMissingColumns=True)
         rows = new.persist()
         context = source_context(rows, ts, by, key, pkts, seconds, ttl_seconds)
         context.filter("__new").drop("__new").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        newest = rows.agg(F.max(ts)).first()[0]
+        newest = newest_of(rows)
         tail = rows.select(*keep)
         if newest is not None:
             window = ago(newest, seconds + delay_seconds)
@@ -66,5 +70,7 @@ def run_source_context(
             tail = tail.filter(F.col(ts) >= window).unionByName(last)
         tail.write.mode("overwrite").parquet(f"{state}/{batch_id}")
         rows.unpersist()
+        if batch_id > 1:
+            remove_path(spark, f"{state}/{batch_id - 2}")
 
     return start(stream.writeStream.foreachBatch(step), checkpoint, continuous=continuous)

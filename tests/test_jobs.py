@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlab.__main__ import main
+from flowlab.plans.queries_io import cic_flows
 from flowlab.models import fit_gaussian_nb, load_model, save_model
 from flowlab.session import DEFAULT_CONF, build_session, drop_folder, fresh_folder, shared_folder
 from flowlab.sources import write_csv
@@ -23,6 +24,19 @@ def test_session_settings_and_shared_folder(spark):
         drop_folder(spark, "/somewhere/else")
 
 
+def test_command_line_from_raw_csv_to_model(spark, sf, tmp_path, capsys):
+    raw = cic_flows(spark, sf).fillna(0)
+    write_csv(raw, f"{tmp_path}/raw")
+    main(["prepare", f"{tmp_path}/raw", f"{tmp_path}/data", "--train-end", "2024-01-19", "--val-end", "2024-01-25"])
+    train = spark.read.parquet(f"{tmp_path}/data/train")
+    assert train.count() > 400 and train.select("flow_key").distinct().count() == train.count()
+    assert train.filter(F.col("Label").isNull()).isEmpty()
+    main(["train", f"{tmp_path}/data", f"{tmp_path}/models", "--families", "NB"])
+    assert {"NB_SMOTE", "NB_Weighted"} <= set(capsys.readouterr().out.replace("|", " ").split())
+    names = load_model(spark, f"{tmp_path}/models/best_model").features
+    assert "pkt_rate" in names and "flow_key" not in names and "is_attack" not in names
+
+
 def test_command_line_from_model_to_scores(spark, tmp_path, capsys):
     rows = spark.range(400).select(
         F.col("id").alias("flow_id"), (F.col("id") % 5).cast("double").alias("a"),

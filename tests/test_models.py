@@ -80,7 +80,7 @@ def test_stored_model_scores_the_same(spark, planted):
 
 def test_grid_log_and_best_model(spark, planted):
     out, log = fresh_folder(spark, "grid"), fresh_folder(spark, "log")
-    board, model = jobs.train_best(planted, planted, out, FEATURES, families=("LR", "NB"),
+    board, model = jobs.train_best(planted, planted, out, FEATURES, "flow_id", families=("LR", "NB"),
                                    options={"LR": {"max_iter": 5}}, run_log=log)
     assert {r.run for r in board.collect()} == {"LR_SMOTE", "LR_Weighted", "NB_SMOTE", "NB_Weighted"}
     assert board.first().run == model.meta["model_name"]
