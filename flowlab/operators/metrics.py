@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.running import ROWS_PER_SLICE, fit_cuts, running_sums
+from flowlab.operators.running import fit_cuts, running_sums
 
 # Alert limits for missed attacks and false alarms.
 FNR_LIMIT = 0.10
@@ -70,7 +70,7 @@ def cumulative_counts(
     label: str = "is_attack",
     score: str = "p",
     by: Sequence[str] = (),
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per distinct score, highest first: tp, fp, running ctp, cfp, and totals n_pos, n_neg.
@@ -102,7 +102,7 @@ def _rank_sums() -> dict[str, Column]:
 
 def rank_metrics(
     pred: DataFrame, label: str = "is_attack", score: str = "p", by: Sequence[str] = (),
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """ROC-AUC and average precision from one ordering; null where only one class occurs."""
     counts = cumulative_counts(pred, label, score, by, rows_per_slice)

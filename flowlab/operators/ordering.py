@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.operators.running import ROWS_PER_SLICE, fit_cuts, order_value, previous_value
+from flowlab.operators.running import fit_cuts, order_value, previous_value
 
 # Model families and balancing strategies in run names such as LR_SMOTE.
 FAMILIES = ("LR", "RF", "XGB", "LGB", "SVM", "MLP", "NB")
@@ -27,7 +27,7 @@ def top_k(df: DataFrame, by: str, k: int, key: str) -> DataFrame:
 
 
 def with_gap(
-    df: DataFrame, ts: str, by: str, key: str, out: str = "gap_s", rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, ts: str, by: str, key: str, out: str = "gap_s", rows_per_slice: int | None = None
 ) -> DataFrame:
     """Seconds since the previous row of the same ``by`` value; null on its first row."""
     cuts = fit_cuts(df, ts, rows_per_slice)

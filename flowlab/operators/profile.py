@@ -162,8 +162,7 @@ def running_totals(
 
     Rows of one instant are counted first, so a burst cannot pile up in one window.
     """
-    args = {"rows_per_slice": rows_per_slice} if rows_per_slice else {}
-    cuts = fit_cuts(pred, ts, **args)
+    cuts = fit_cuts(pred, ts, rows_per_slice)
     at = pred.groupBy(ts).agg(F.count("*").alias("__n"),
                               F.count_if(F.col(prediction) == 1).alias("__a"))
     total = running_sums(at, [ts], {"total_flows": F.col("__n"), "total_attacks": F.col("__a")}, cuts=cuts)

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.functions import finite, present
+from flowlab.session import size
 
 ACCURACY = 10_000
-GATHER_ROWS = 50_000
 RANKS_PER_JOB = 40
 COLUMNS_PER_JOB = 100
 
@@ -82,7 +82,7 @@ def _narrow(data: DataFrame, searches: list[_Search], guesses: list[tuple[float,
 
 
 def _gather(data: DataFrame, searches: list[_Search]) -> None:
-    """Pick the ranks out of intervals known to hold at most ``GATHER_ROWS`` rows."""
+    """Pick the ranks out of intervals known to hold at most the gathered size."""
     for part in _chunks(searches, RANKS_PER_JOB):
         picks = [F.sort_array(F.collect_list(s.window()))[s.rank - s.below] for s in part]
         for s, value in zip(part, data.agg(*picks).first(), strict=True):
@@ -93,7 +93,7 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     finite_only: bool = False,
-    gather_rows: int = GATHER_ROWS,
+    gather_rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; null and NaN are left out.
 
@@ -101,6 +101,7 @@ def exact_quantiles(
     """
     if not wanted:
         return {}
+    gather_rows = gather_rows or size(df.sparkSession, "spark.flowlab.gatherRows")
     clean = finite if finite_only else present
     data = df.select(*[clean(df, c).cast("double").alias(c) for c in wanted])
     sizes: dict[str, int] = {}

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLICE = 1_000_000
+from flowlab.session import size
+
 MAX_SLICES = 4096
 ACCURACY = 20_000
 
@@ -35,12 +36,13 @@ def order_value(df: DataFrame, name: str) -> Column:
 
 
 def fit_cuts(
-    df: DataFrame, name: str, rows_per_slice: int = ROWS_PER_SLICE, max_slices: int = MAX_SLICES
+    df: DataFrame, name: str, rows_per_slice: int | None = None, max_slices: int = MAX_SLICES
 ) -> list[float]:
     """Ascending cut points so that a slice holds about ``rows_per_slice`` rows.
 
     One count, and a sketch of the column only where more than one slice is needed.
     """
+    rows_per_slice = rows_per_slice or size(df.sparkSession, "spark.flowlab.rowsPerSlice")
     data = df.select(order_value(df, name).alias(_ORDER))
     n = data.agg(F.count(_ORDER)).first()[0]
     slices = min(max_slices, math.ceil(n / rows_per_slice))

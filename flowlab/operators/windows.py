@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.running import ROWS_PER_SLICE, fit_cuts, running_sums
+from flowlab.operators.running import fit_cuts, running_sums
 
 # Default window, slide and lifetime of a source's context.
 SIZE = "1 hour"
@@ -57,7 +57,7 @@ def trailing_sums(
     by: Sequence[str],
     sums: Mapping[str, Column],
     seconds: int = HOUR_SECONDS,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
     previous: str | None = None,
     tie: str | None = None,
 ) -> DataFrame:
@@ -95,7 +95,7 @@ def source_context(
     pkts: str = "tot_fwd_pkts",
     seconds: int = HOUR_SECONDS,
     ttl_seconds: int | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Per flow: gap to the source's previous flow, flows and packets in the trailing window.
 

@@ -34,6 +34,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Sizes a cluster may tune: rows per ordered slice, rows gathered per quantile, points per block.
+SIZES = {
+    "spark.flowlab.rowsPerSlice": 1_000_000,
+    "spark.flowlab.gatherRows": 50_000,
+    "spark.flowlab.blockRows": 4_096,
+}
+
+
+def size(spark: SparkSession, name: str) -> int:
+    """A size from the session, or its default."""
+    return int(spark.conf.get(name, str(SIZES[name])))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Root folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

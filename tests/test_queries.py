@@ -35,3 +35,21 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert {r.attack_type for r in entry.entry(spark).collect()} >= {"Benign", "Bot"}
+
+
+SLICED = ["b6_fit_median", "b10_remove_outliers_iqr", "c20_smote", "d16_running_totals", "f3_roc_auc",
+          "f6_rank_metrics_many_scores", "f11_leaderboard", "g8_trailing_sums", "g9_source_context", "s3_with_gap"]
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_query_in_small_pieces(spark, con, name):
+    """The paths large tables take, on small ones: many slices, brackets and blocks."""
+    sizes = {"spark.flowlab.rowsPerSlice": "90", "spark.flowlab.gatherRows": "30", "spark.flowlab.blockRows": "40"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        df = QUERIES[name](spark, SF)
+        assert not differences(con, ORACLES[name], df, [tuple(r) for r in df.collect()])
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
