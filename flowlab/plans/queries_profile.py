@@ -179,21 +179,19 @@ def running_totals(spark, sf_dir):
 
 @query("d17_interarrival_stats", with_flows("""
 SELECT count(*) AS n_flows, min(flow_ts) AS first_ts, max(flow_ts) AS last_ts,
-  round((epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6, 6) AS duration_s,
-  round((epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 / (count(*) - 1), 6) AS mean_gap_s FROM flows"""))
+  (epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 AS duration_s,
+  (epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 / (count(*) - 1) AS mean_gap_s FROM flows"""))
 def interarrival(spark, sf_dir):
-    return profile.interarrival_stats(flows(spark, sf_dir), "flow_ts").withColumns(
-        {c: F.round(c, 6) for c in ("duration_s", "mean_gap_s")})
+    return profile.interarrival_stats(flows(spark, sf_dir), "flow_ts")
 
 
 @query("d17_interarrival_by_source", with_flows("""
 SELECT src_id, count(*) AS n_flows, min(flow_ts) AS first_ts, max(flow_ts) AS last_ts,
-  round((epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6, 6) AS duration_s,
-  CASE WHEN count(*) > 1 THEN round((epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 / (count(*) - 1), 6) END
+  (epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 AS duration_s,
+  CASE WHEN count(*) > 1 THEN (epoch_us(max(flow_ts)) - epoch_us(min(flow_ts))) / 1e6 / (count(*) - 1) END
     AS mean_gap_s FROM flows GROUP BY src_id"""))
 def interarrival_by_source(spark, sf_dir):
-    return profile.interarrival_stats(flows(spark, sf_dir), "flow_ts", "src_id").withColumns(
-        {c: F.round(c, 6) for c in ("duration_s", "mean_gap_s")})
+    return profile.interarrival_stats(flows(spark, sf_dir), "flow_ts", "src_id")
 
 
 @query("d18_recent_stats", with_scored(f"""
@@ -217,15 +215,15 @@ def top_k(spark, sf_dir):
     return ordering.top_k(flows(spark, sf_dir).select("flow_id", "totlen_fwd_pkts"), "totlen_fwd_pkts", 20, "flow_id")
 
 
-GAP_SQL = """SELECT flow_id, src_id, round((epoch_us(flow_ts) - epoch_us(lag(flow_ts)
-  OVER (PARTITION BY src_id ORDER BY flow_ts, flow_id))) / 1e6, 6) AS gap_s FROM flows"""
+GAP_SQL = """SELECT flow_id, src_id, (epoch_us(flow_ts) - epoch_us(lag(flow_ts)
+  OVER (PARTITION BY src_id ORDER BY flow_ts, flow_id))) / 1e6 AS gap_s FROM flows"""
 
 
 @query("s3_with_gap", with_flows(GAP_SQL))
 def with_gap(spark, sf_dir):
     df = flows(spark, sf_dir).select("flow_id", "src_id", "flow_ts")
     return ordering.with_gap(df, "flow_ts", "src_id", "flow_id").select(
-        "flow_id", "src_id", F.round("gap_s", 6).alias("gap_s"))
+        "flow_id", "src_id", "gap_s")
 
 
 @query("s3_with_gap_sliced", with_flows(GAP_SQL))
@@ -233,7 +231,7 @@ def with_gap_sliced(spark, sf_dir):
     """The same result from ordered slices of a tenth of the rows each, as large tables are run."""
     df = flows(spark, sf_dir).select("flow_id", "src_id", "flow_ts")
     out = ordering.with_gap(df, "flow_ts", "src_id", "flow_id", rows_per_slice=max(1, df.count() // 10))
-    return out.select("flow_id", "src_id", F.round("gap_s", 6).alias("gap_s"))
+    return out.select("flow_id", "src_id", "gap_s")
 
 
 @query("s8_union_all", with_flows("""

@@ -130,7 +130,7 @@ def trailing(spark, sf_dir):
 CONTEXT_SQL = f"""
 WITH c AS (SELECT flow_id, src_id, {TRAILING_SQL}, (epoch_us(flow_ts) - epoch_us(lag(flow_ts)
     OVER (PARTITION BY src_id ORDER BY flow_ts, flow_id))) / 1e6 AS gap FROM flows {TRAILING_FRAME})
-SELECT flow_id, src_id, recent_flows, recent_pkts, round(CASE WHEN gap <= 86400 THEN gap END, 6) AS gap_s FROM c"""
+SELECT flow_id, src_id, recent_flows, recent_pkts, CASE WHEN gap <= 86400 THEN gap END AS gap_s FROM c"""
 DAY = 86_400
 
 
@@ -138,7 +138,7 @@ DAY = 86_400
 def context(spark, sf_dir):
     df = flows(spark, sf_dir).select("flow_id", "src_id", "flow_ts", "tot_fwd_pkts")
     out = windows.source_context(df, "flow_ts", "src_id", "flow_id", ttl_seconds=DAY)
-    return out.select("flow_id", "src_id", "recent_flows", "recent_pkts", F.round("gap_s", 6).alias("gap_s"))
+    return out.select("flow_id", "src_id", "recent_flows", "recent_pkts", "gap_s")
 
 
 @query("g9_source_context_stream", with_flows(CONTEXT_SQL))
@@ -155,7 +155,7 @@ def context_stream(spark, sf_dir):
         run_source_context(stream, "flow_ts", "src_id", "flow_id", out, f"{out}-state", f"{out}-progress",
                            ttl_seconds=DAY).awaitTermination()
     return spark.read.parquet(out).select(
-        "flow_id", "src_id", "recent_flows", "recent_pkts", F.round("gap_s", 6).alias("gap_s"))
+        "flow_id", "src_id", "recent_flows", "recent_pkts", "gap_s")
 
 
 @query("g10_stream_dedup", with_flows("SELECT flow_id, flow_ts, src_id FROM flows"))
