@@ -6,6 +6,7 @@ from flowlab.functions.columns import (  # noqa: F401
     coef_variation,
     finite,
     hash_hex,
+    hash_uniform,
     is_missing,
     packet_rate,
     present,

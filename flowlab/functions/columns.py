@@ -67,3 +67,8 @@ def finite(df: DataFrame, name: str) -> Column:
 def hash_hex(*cols: str | Column, seed: int | str = 42) -> Column:
     """md5 hex of the columns and the seed: the same in any partitioning and any engine."""
     return F.md5(F.concat_ws(":", *[_col(c).cast("string") for c in cols], F.lit(str(seed))))
+
+
+def hash_uniform(*parts: str | Column) -> Column:
+    """A double in [0, 1) from a hash of the parts: the same in any partitioning."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(2**53))

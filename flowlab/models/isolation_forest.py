@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowlab.functions import hash_uniform
 from flowlab.operators.quantiles import exact_quantiles
 from flowlab.operators.vectors import Scaler, feature_array
 from flowlab.session import drop_folder, fresh_folder
@@ -41,11 +42,6 @@ def mean_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + EULER) - 2.0 * (n - 1) / n
 
 
-def _uniform(*parts: Column) -> Column:
-    """A double in [0, 1) from a hash of the parts."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(2**53))
-
-
 def draw_rows(
     df: DataFrame, n: int, key: str, x: Column, trees: int, psi: int, seed: int
 ) -> DataFrame:
@@ -55,10 +51,10 @@ def draw_rows(
     """
     pool_rows = max(POOL_ROWS, 4 * psi)
     rows = df.select(F.col(key).alias("k"), x.alias("x"))
-    pool = rows.filter(_uniform(F.lit(seed), F.col("k")) < pool_rows / n) if n > pool_rows else rows
+    pool = rows.filter(hash_uniform(F.lit(seed), F.col("k")) < pool_rows / n) if n > pool_rows else rows
     share = min(1.0, OVERDRAW * psi / min(n, pool_rows) + 12 * math.sqrt(psi) / min(n, pool_rows))
     offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "u", _uniform(F.lit(seed + 1), F.col("tree"), F.col("k")))
+        "u", hash_uniform(F.lit(seed + 1), F.col("tree"), F.col("k")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("u", "k"))
     return (offered.filter(F.col("u") < share).withColumn("rank", rank)
             .filter(F.col("rank") <= psi).select("tree", "k", "x"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.operators.cleaning import align_features
+from flowlab.operators.ordering import union_all
 from flowlab.schema import CIC_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -102,7 +103,4 @@ def to_json_flows(df: DataFrame, cols: Sequence[str] | None = None, out: str = "
 
 def combine(*dfs: DataFrame) -> DataFrame:
     """Append flow tables by column name."""
-    out = dfs[0]
-    for df in dfs[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out
+    return union_all(dfs)
