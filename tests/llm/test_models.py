@@ -1,0 +1,71 @@
+"""Language identification and toxicity: held-out accuracy, and defined results for odd rows."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from flowlab.llm import langid, queries, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_language_held_out(spark):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op5_language_id(spark, SF).collect()
+    assert len(rows) == len(truth) and all(0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95
+
+
+def test_kernel_folds_into_weights():
+    """The folded matrix gives what landmark kernels and ridge weights give: the kernel is linear in presence."""
+    rows = [np.unique(np.concatenate(langid.grams(t))) for t in ("the thing and that", "der die das und", "and the other", "das ist und")]
+    model = langid.fit_kernel_ridge(["de", "en"], rows, ["en", "de", "en", "de"])
+    kernel = langid._presence(rows)
+    again = kernel @ (model.weights[:, :2] * np.sqrt(3)) + model.bias
+    assert np.allclose(again, model.margins(["the thing and that", "der die das und", "and the other", "das ist und"]), atol=1e-3)
+    assert (model.margins(["and that", "die und das"]).argmax(axis=1) == [1, 0]).all()
+
+
+def test_language_of_odd_rows(spark, odd_docs, no_docs):
+    model = langid.fit(odd_docs)
+    rows = odd_docs.select("doc_id", "text", langid.predicted(spark, model, odd_docs["text"]).alias("p")).collect()
+    for r in rows:
+        assert (r.p.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")), r.doc_id
+    assert langid.fit(no_docs) is None
+    none = odd_docs.select(langid.predicted(spark, None, odd_docs["text"]).alias("p")).collect()
+    assert {(r.p.lang_pred, r.p.score) for r in none} == {("und", 0.0)}
+    assert no_docs.select(langid.predicted(spark, model, no_docs["text"])).collect() == []
+
+
+def test_toxicity_held_out(spark):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = queries.op1_toxicity(spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count() and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == int(r.score >= 0.3) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    toxic, clean = ([r.score for r in held if labels[r.doc_id] == y] for y in (1, 0))
+    above = np.mean([a > b for a in toxic for b in clean])
+    assert above > 0.9
+
+
+def test_subwords_reach_misspellings():
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rng = np.random.default_rng(0)
+    texts = [" ".join(rng.choice(words, 30)) for _ in range(400)]
+    labels = [int(i % 4 == 0) for i in range(400)]
+    texts = [t + " dreadfulness " + t if y else t for t, y in zip(texts, labels, strict=True)]
+    model = toxicity.fit_texts(texts, labels, 100, 300)
+    plain = " ".join(words)
+    assert model.score(f"{plain} dreadfullness {plain}") > 0.5 > model.score(plain)
+    assert model.score("") == model.prior == 0.25
+
+
+def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
+    labelled = odd_docs.selectExpr("text", "CASE WHEN doc_id = 4 THEN NULL WHEN doc_id < 4 THEN 1 ELSE 0 END AS toxic")
+    model = toxicity.fit(labelled)
+    scores = [r.s for r in odd_docs.select(toxicity.score(spark, model, odd_docs["text"]).alias("s")).collect()]
+    assert len(scores) == odd_docs.count() and all(0 <= s <= 1 for s in scores)
+    nothing = toxicity.fit(no_docs.selectExpr("text", "1 AS toxic"))
+    assert nothing.score("anything") < 0.3 and nothing.score("") == 0.0
+    assert no_docs.select(toxicity.score(spark, model, no_docs["text"])).collect() == []
