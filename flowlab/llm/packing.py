@@ -91,15 +91,15 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
-    fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
     fields += [("ids", pa.list_(pa.int32()))] if with_ids else []
     end = np.array([end_id], "<u4").tobytes()
-    ddl = "array<struct<start:bigint,length:bigint,ids_crc32:bigint" + (",ids:array<int>" if with_ids else "") + ">>"
+    ddl = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint" + (",ids:array<int>" if with_ids else "") + ">>"
 
     @F.arrow_udf(ddl)
     def pieces(texts: pa.Array) -> pa.Array:
         encode, ends = document_ids(tokenizer), [0]
-        starts, lengths, sums, blobs = [], [], [], []
+        starts, lengths, sums, totals, blobs = [], [], [], [], []
         for value in texts:
             ids = encode(value.as_py() or "") + end
             at = 0
@@ -108,11 +108,12 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
                 starts.append(at)
                 lengths.append(n)
                 sums.append(zlib.crc32(part))
+                totals.append(len(ids) // 4)
                 at += n
             if with_ids:
                 blobs.append(ids)
             ends.append(len(starts))
-        columns = [pa.array(x, pa.int64()) for x in (starts, lengths, sums)]
+        columns = [pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]
         if with_ids:
             cuts = np.concatenate([[0], np.cumsum(lengths)]).astype("i4")
             flat = pa.array(np.frombuffer(b"".join(blobs), "<i4"), pa.int32())
@@ -120,10 +121,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         rows = pa.StructArray.from_arrays(columns, fields=[pa.field(n, t) for n, t in fields])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
-    cut = docs.select(F.col(key).alias(key), pieces(F.col(text)).alias("_pieces"))
-    out = cut.select(key, F.explode("_pieces").alias("_p"),
-                     F.aggregate("_pieces", F.lit(0).cast("bigint"), lambda n, p: n + p["length"]).alias("doc_tokens"))
-    return out.select(key, "_p.*", "doc_tokens", F.monotonically_increasing_id().alias("sequence_id"),
+    out = docs.select(F.col(key).alias(key), F.explode(pieces(F.col(text))).alias("_p"))
+    return out.select(key, "_p.*", F.monotonically_increasing_id().alias("sequence_id"),
                       F.lit(0).cast("bigint").alias("offset"))
 
 
