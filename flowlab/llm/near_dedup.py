@@ -12,6 +12,8 @@ components are compared with each other.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -62,11 +64,13 @@ def _signatures(texts: pa.Array) -> pa.Array:
                                        pa.array(bands, pa.list_(pa.int64()))], ["n", "digest", "bands"])
 
 
-def _sets(texts: pa.Array) -> pa.Array:
-    sets = [shingle_set(t.as_py()) for t in texts]
-    return pa.StructArray.from_arrays([pa.array(map(digest, sets), pa.binary()),
-                                       pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                                      ["digest", "shingles"])
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, len(batch), 256):
+            sets = [shingle_set(t.as_py()) for t in batch.column(0)[start:start + 256]]
+            yield pa.RecordBatch.from_arrays([pa.array(map(digest, sets), pa.binary()),
+                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                                             ["digest", "shingles"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -109,7 +113,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 SIGNATURES = "struct<n:bigint,digest:binary,bands:array<bigint>>"
-SETS = "struct<digest:binary,shingles:array<bigint>>"
+SETS = "digest binary, shingles array<bigint>"
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text",
@@ -163,7 +167,7 @@ def _candidate_sets(base: DataFrame, signed: DataFrame, buckets: DataFrame) -> D
     if wanted.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     texts = base.join(keys, F.col("_key").eqNullSafe(F.col("_wanted")), "left_semi")
-    found = texts.select(F.arrow_udf(_sets, SETS)("_text").alias("_s")).select("_s.*")
+    found = texts.select("_text").mapInArrow(_sets, SETS)
     # A key may stand for several texts, so the set decides; equal sets come once.
     return stored(wanted.select("digest", "n", F.col("_row").alias("node")).join(found, "digest")
                   .dropDuplicates(["node"]).select("node", "n", "shingles"), "shingles")
