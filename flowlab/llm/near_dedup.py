@@ -5,9 +5,11 @@ the second ranks the places, and coordinate k is the smallest rank after turning
 coordinates name buckets; documents that share one are candidates, and a link counts only when the full
 shingle sets reach the similarity.
 
-Documents with equal sets are one node. In each bucket nodes are first compared with the bucket's smallest
-node, so a group of copies costs a comparison per copy; only nodes of a bucket that are then still in different
-components are compared with each other.
+Documents with equal sets are one node. A shingle that no other candidate has can be in no intersection, so a node
+with too many of those has no link and leaves before any comparison, and a pair is compared only if what either
+shares with others could be enough. In each bucket nodes are first compared with the bucket's smallest node, so a
+group of copies costs a comparison per copy; only nodes of a bucket that are then still in different components
+are compared with each other.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.common import stored
@@ -100,16 +102,34 @@ def components(links: DataFrame) -> DataFrame:
                      .withColumn(end, F.coalesce("_to", end)).drop("_from", "_to"))
 
 
+def _reachable(a: str, b: str, percent: int) -> Column:
+    """Could two nodes (columns n and shared behind these prefixes) reach the similarity at all?"""
+    most = F.least(F.col(f"{a}shared"), F.col(f"{b}shared"))
+    return most * 100 >= (F.col(f"{a}n") + F.col(f"{b}n") - most) * percent
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with a column ``linked``: do their full sets reach the similarity?"""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("shingles").alias("_sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("shingles").alias("_sb"))
-    sizes = right.select("b", "_nb")
-    fits = (pairs.join(left.select("a", "_na"), "a").join(sizes, "b")
-            .filter(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).select("a", "b"))
-    both = F.size(F.array_intersect("_sa", "_sb"))
-    return fits.join(left, "a").join(right, "b").select(
-        "a", "b", (both * 100 >= (F.col("_na") + F.col("_nb") - both) * percent).alias("linked"))
+    """Pairs (a, b) with a column ``linked``: do their full sets reach the similarity? Pairs that cannot are left out."""
+    def side(name: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    right = side("b", "n", "shared").withColumnRenamed("b", "_b")
+    fits = pairs.join(side("a", "n", "shared"), "a").join(
+        right, (F.col("b") == F.col("_b")) & _reachable("a_", "b_", percent)).select("a", "b")
+    both = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    return fits.join(side("a", "n", "shingles"), "a").join(side("b", "n", "shingles"), "b").select(
+        "a", "b", (both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent).alias("linked"))
+
+
+def _with_shared(sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate sets with ``shared``, the number of shingles that some other candidate has; only nodes for which
+    that can be enough for a link."""
+    private = (sets.select("node", F.explode("shingles").alias("_s")).groupBy("_s")
+               .agg(F.min("node").alias("_of"), F.count("*").alias("_n")).filter("_n = 1")
+               .groupBy("_of").agg(F.count("*").alias("_private")))
+    shared = F.col("n") - F.coalesce("_private", F.lit(0))
+    return (sets.join(private, F.col("node") == F.col("_of"), "left")
+            .select("node", "n", "shingles", shared.alias("shared")).filter(F.col("shared") * 100 >= F.col("n") * percent))
 
 
 SIGNATURES = "struct<n:bigint,digest:binary,bands:array<bigint>>"
@@ -135,9 +155,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     rows = signed.join(reps.select(F.col("node").alias("_row")), "_row", "left_semi")
     by_band = Window.partitionBy("band")
     buckets = stored(rows.select(F.col("_row").alias("node"), F.explode("bands").alias("band"))
-                     .select("band", "node", F.min("node").over(by_band).alias("hub"), F.count("*").over(by_band).alias("_n"))
-                     .filter("_n > 1").drop("_n"), "buckets")
-    sets = _candidate_sets(base, signed, buckets)
+                     .select("band", "node", F.count("*").over(by_band).alias("_n")).filter("_n > 1").drop("_n"), "buckets")
+    sets = stored(_with_shared(_candidate_sets(base, signed, buckets), percent), "shared")
+    sets = stored(_with_shared(sets.drop("shared"), percent), "shared")  # those that left no longer count
+    buckets = stored(buckets.select("band", "node").join(sets.select("node", "n", "shared"), "node").select(
+        "band", "node", "n", "shared", F.min("node").over(by_band).alias("hub"), F.count("*").over(by_band).alias("_n"))
+        .filter("_n > 1").drop("_n"), "buckets")
     # Each node with the smallest of its hubs, then with its other hubs, then what is left in each bucket.
     first = buckets.filter("node <> hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
     tried = stored(_verified(first, sets, percent), "tried")
@@ -146,7 +169,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     more = stored(_verified(_apart(hubs, roots).join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
     tried = tried.unionByName(more)
     roots = components(tried.filter("linked").select("a", "b"))
-    left = _left_in_buckets(buckets, roots).join(tried, ["a", "b"], "left_anti")
+    left = _left_in_buckets(buckets, roots, percent).join(tried, ["a", "b"], "left_anti")
     rest = stored(_verified(left, sets, percent), "tried")
     roots = components(tried.unionByName(rest).filter("linked").select("a", "b"))
     named = reps.join(roots, "node", "left").select("digest", "_least", F.coalesce("root", "node").alias("root"))
@@ -184,14 +207,18 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a", "_ra"), roots, "b", "_rb").filter("_ra <> _rb").select("a", "b")
 
 
-def _left_in_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components, none of them its hub."""
-    rooted = stored(_rooted(buckets.filter("node <> hub").select("band", "node"), roots, "node", "root"), "rooted")
+def _left_in_buckets(buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that are in different components and could be linked."""
+    rooted = stored(_rooted(buckets.select("band", "node", "n", "shared"), roots, "node", "root"), "rooted")
     mixed = rooted.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi")
     some = rooted.join(mixed.select("band"), "band", "left_semi")
-    a = some.select("band", F.col("node").alias("a"), F.col("root").alias("_ra"))
-    b = some.select("band", F.col("node").alias("b"), F.col("root").alias("_rb"))
-    return a.join(b, "band").filter("a < b and _ra <> _rb").select("a", "b").distinct()
+
+    def side(name: str) -> DataFrame:
+        return some.select(*[F.col(c).alias(f"{name}_{c}") for c in some.columns])
+
+    pairs = side("a").join(side("b"), (F.col("a_band") == F.col("b_band")) & (F.col("a_node") < F.col("b_node"))
+                           & (F.col("a_root") != F.col("b_root")) & _reachable("a_", "b_", percent))
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
