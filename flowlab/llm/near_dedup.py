@@ -9,7 +9,7 @@ Documents with equal sets are one node. A shingle that no other candidate has ca
 with too many of those has no link and leaves before any comparison, and a pair is compared only if what either
 shares with others could be enough. In each bucket nodes are first compared with the bucket's smallest node, so a
 group of copies costs a comparison per copy; only nodes of a bucket that are then still in different components
-are compared with each other.
+are compared with each other, each pair once.
 """
 
 from __future__ import annotations
@@ -158,15 +158,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
                      .select("band", "node", F.count("*").over(by_band).alias("_n")).filter("_n > 1").drop("_n"), "buckets")
     sets = stored(_with_shared(_candidate_sets(base, signed, buckets), percent), "shared")
     sets = stored(_with_shared(sets.drop("shared"), percent), "shared")  # those that left no longer count
+    central = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("private"), F.col("node").alias("node"))
     buckets = stored(buckets.select("band", "node").join(sets.select("node", "n", "shared"), "node").select(
-        "band", "node", "n", "shared", F.min("node").over(by_band).alias("hub"), F.count("*").over(by_band).alias("_n"))
+        "band", "node", "n", "shared", F.min(central).over(by_band).alias("hub"), F.count("*").over(by_band).alias("_n"))
         .filter("_n > 1").drop("_n"), "buckets")
-    # Each node with the smallest of its hubs, then with its other hubs, then what is left in each bucket.
-    first = buckets.filter("node <> hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+    # Each node with the most central of its hubs, then with its other hubs, then what is left in each bucket.
+    with_hub = buckets.filter("node <> hub.node")
+    pair = [F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")]
+    first = with_hub.groupBy("node").agg(F.min("hub").alias("hub")).select(*pair).distinct()
     tried = stored(_verified(first, sets, percent), "tried")
     roots = components(tried.filter("linked").select("a", "b"))
-    hubs = buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    more = stored(_verified(_apart(hubs, roots).join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
+    more = stored(_verified(_apart(with_hub.select(*pair).distinct(), roots).join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
     tried = tried.unionByName(more)
     roots = components(tried.filter("linked").select("a", "b"))
     left = _left_in_buckets(buckets, roots, percent).join(tried, ["a", "b"], "left_anti")
@@ -208,17 +210,20 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _left_in_buckets(buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that are in different components and could be linked."""
+    """Pairs of a bucket that are in different components and could be linked, each in the first bucket they share."""
     rooted = stored(_rooted(buckets.select("band", "node", "n", "shared"), roots, "node", "root"), "rooted")
     mixed = rooted.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi")
     some = rooted.join(mixed.select("band"), "band", "left_semi")
+    bands = some.groupBy("node").agg(F.collect_set("band").alias("bands"))  # BANDS at most
+    some = stored(some.join(bands, "node"), "mixed")
 
     def side(name: str) -> DataFrame:
         return some.select(*[F.col(c).alias(f"{name}_{c}") for c in some.columns])
 
     pairs = side("a").join(side("b"), (F.col("a_band") == F.col("b_band")) & (F.col("a_node") < F.col("b_node"))
-                           & (F.col("a_root") != F.col("b_root")) & _reachable("a_", "b_", percent))
-    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+                           & (F.col("a_root") != F.col("b_root")) & _reachable("a_", "b_", percent)
+                           & (F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("a_band")))
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
