@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the toxicity threshold; the model learns from those of them that have a label."""
-    model = toxicity.fit(toxicity_rows(docs, parquet(spark, sf_dir, "labels")))
+    model = toxicity.fit_by_key(toxicity_rows(docs), parquet(spark, sf_dir, "labels"))
     return docs.filter(toxicity.score(spark, model, F.col("text")) < TOXIC_FROM)
 
 

@@ -30,10 +30,9 @@ TOKEN_LIMIT = 4096
 SHARDS = 8
 
 
-def toxicity_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents a toxicity model may learn from: text, toxic."""
-    learn = docs.filter(crc_of_id(F.col("doc_id")) % 4 != 2).select("doc_id", "text")
-    return learn.join(labels.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
+def toxicity_rows(docs: DataFrame) -> DataFrame:
+    """Documents whose labels a toxicity model may learn from."""
+    return docs.filter(crc_of_id(F.col("doc_id")) % 4 != 2)
 
 
 def language_rows(docs: DataFrame) -> DataFrame:
@@ -44,7 +43,7 @@ def language_rows(docs: DataFrame) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document. A null id is held out."""
     docs = parquet(spark, sf_dir, "documents")
-    model = toxicity.fit(toxicity_rows(docs, parquet(spark, sf_dir, "labels")))
+    model = toxicity.fit_by_key(toxicity_rows(docs), parquet(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", F.coalesce(crc_of_id(F.col("doc_id")) % 4 == 2, F.lit(True)).alias("held_out"),
                          toxicity.score(spark, model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))

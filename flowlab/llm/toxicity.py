@@ -224,6 +224,26 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Toxici
                      max(1, counts.get(1, 0)), max(1, counts.get(0, 0)))
 
 
+def fit_by_key(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+               label: str = "toxic") -> ToxicityModel:
+    """Like ``fit``, for labels in a table of their own: keys are drawn first, by their hash, and texts are read
+    for the drawn keys alone, so no text is shuffled. Null keys have no label."""
+    keys = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key")).join(
+        labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")), "_key").filter("y in (0, 1)")
+    counts = {r.y: r.n for r in keys.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    draw = F.shiftrightunsigned(F.xxhash64("_key", F.lit("sample")), 11) / float(1 << 53)
+    share = F.when(F.col("y") == 1, SAMPLE_ROWS / max(1, counts.get(1, 0))).otherwise(
+        2 * SAMPLE_ROWS / max(1, counts.get(0, 0)))
+    drawn = F.broadcast(keys.filter(draw < share).distinct())  # about 3 * SAMPLE_ROWS keys
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(drawn, "_key")
+    sample = (rows.filter(F.char_length("text") <= SAMPLE_CHARS).select("text", "y").distinct()
+              .orderBy(F.xxhash64("text"), "text", "y").collect())
+    if not sample:
+        return ToxicityModel(np.zeros((1 << BUCKET_BITS) + 1, np.float32), 0.0, 0.0, -40.0, 0.0)
+    return fit_texts([r.text for r in sample], [r.y for r in sample],
+                     max(1, counts.get(1, 0)), max(1, counts.get(0, 0)))
+
+
 def score(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
     """Probability that a text is toxic. Null and empty texts, and texts without a letter or digit, get the
     share of toxic rows among those learned from."""
