@@ -108,13 +108,14 @@ def _reachable(a: str, b: str, percent: int) -> Column:
     return most * 100 >= (F.col(f"{a}n") + F.col(f"{b}n") - most) * percent
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with a column ``linked``: do their full sets reach the similarity? Pairs that cannot are left out."""
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, could_be: bool = False) -> DataFrame:
+    """Pairs (a, b) with a column ``linked``: do their full sets reach the similarity? Pairs that cannot are left out,
+    which ``could_be`` says was seen to already."""
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
     right = side("b", "n", "shared").withColumnRenamed("b", "_b")
-    fits = pairs.join(side("a", "n", "shared"), "a").join(
+    fits = pairs if could_be else pairs.join(side("a", "n", "shared"), "a").join(
         right, (F.col("b") == F.col("_b")) & _reachable("a_", "b_", percent)).select("a", "b")
     both = F.size(F.array_intersect("a_shingles", "b_shingles"))
     return fits.join(side("a", "n", "shingles"), "a").join(side("b", "n", "shingles"), "b").select(
@@ -172,7 +173,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     tried = tried.unionByName(more)
     roots = components(tried.filter("linked").select("a", "b"))
     left = _left_in_buckets(buckets, roots, percent).join(tried, ["a", "b"], "left_anti")
-    rest = stored(_verified(left, sets, percent), "tried")
+    rest = stored(_verified(left, sets, percent, could_be=True), "tried")
     roots = components(tried.unionByName(rest).filter("linked").select("a", "b"))
     named = reps.join(roots, "node", "left").select("digest", "_least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
