@@ -54,14 +54,16 @@ def fit_cuts(
 
 
 def with_slice(df: DataFrame, name: str, cuts: Sequence[float], out: str = _SLICE) -> DataFrame:
-    """Number of cut points at or below the value, by binary search in the JVM."""
+    """Number of cut points at or below the value, by binary search in the JVM; -1 for a null."""
     if not cuts:
         return df.withColumn(out, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol=_ORDER, outputCol=out, handleInvalid="keep")
     cut = bucketizer.transform(df.withColumn(_ORDER, order_value(df, name)))
     last = F.lit(len(splits) - 1)
-    return cut.withColumn(out, F.coalesce(F.col(out).cast("int"), last)).drop(_ORDER)
+    # Nulls sort below every value, so they are a slice below the first.
+    place = F.when(F.col(_ORDER).isNull(), F.lit(-1)).otherwise(F.coalesce(F.col(out).cast("int"), last))
+    return cut.withColumn(out, place).drop(_ORDER)
 
 
 def _keyed(df: DataFrame, order: str, cuts: Sequence[float], by: Sequence[str]) -> DataFrame:

@@ -136,3 +136,15 @@ def test_gap_and_interarrival(frame):
     gaps = {r.id: r.gap_s for r in ordering.with_gap(df, "ts", "src", "id", rows_per_slice=2).collect()}
     assert gaps == {1: None, 2: 0.0, 3: 15.0, 4: None, 5: 4.0}
     assert profile.interarrival_stats(df, "ts").first().mean_gap_s == 5.0
+
+
+def test_running_totals_with_null_order_do_not_depend_on_slices(spark):
+    from pyspark.sql import functions as F
+
+    from flowlab.operators import running
+
+    rows = spark.range(200).select(F.when(F.col("id") % 10 != 0, F.col("id").cast("double")).alias("t"), F.lit(1).alias("one"))
+    cuts = running.fit_cuts(rows, "t", 20)
+    sliced, plain = (running.running_sums(rows, ["t"], {"n": F.col("one")}, cuts=c).orderBy("t").collect() for c in (cuts, []))
+    assert len(cuts) > 3 and [tuple(r) for r in sliced] == [tuple(r) for r in plain]
+    assert {r.n for r in sliced if r.t is None} == {20}
