@@ -29,7 +29,6 @@ SEED = 42
 
 EULER = 0.5772156649015329
 OVERDRAW = 1.3
-POOL_ROWS = 200_000
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 
 
@@ -47,17 +46,17 @@ def draw_rows(
 ) -> DataFrame:
     """Up to ``psi`` of the ``n`` rows per tree without replacement: (tree, k, x).
 
-    One hash per row picks a pool of bounded size; only pool rows are offered to every tree.
+    Every tree draws from the whole table: a row is offered to the trees for which the hash of (tree, key) lies
+    below a share that leaves each tree somewhat more than ``psi`` rows. All other rows go before the shuffle.
     """
-    pool_rows = max(POOL_ROWS, 4 * psi)
     rows = df.select(F.col(key).alias("k"), x.alias("x"))
-    pool = rows.filter(hash_uniform(F.lit(seed), F.col("k")) < pool_rows / n) if n > pool_rows else rows
-    share = min(1.0, OVERDRAW * psi / min(n, pool_rows) + 12 * math.sqrt(psi) / min(n, pool_rows))
-    offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
+    share = min(1.0, (OVERDRAW * psi + 12 * math.sqrt(psi)) / n)
+    drawn_by = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                        lambda tree: hash_uniform(F.lit(seed + 1), tree, F.col("k")) < share)
+    offered = rows.withColumn("tree", F.explode(drawn_by)).withColumn(
         "u", hash_uniform(F.lit(seed + 1), F.col("tree"), F.col("k")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("u", "k"))
-    return (offered.filter(F.col("u") < share).withColumn("rank", rank)
-            .filter(F.col("rank") <= psi).select("tree", "k", "x"))
+    return offered.withColumn("rank", rank).filter(F.col("rank") <= psi).select("tree", "k", "x")
 
 
 def _grow(tree: int, x: np.ndarray, depth: int, seed: int) -> pd.DataFrame:

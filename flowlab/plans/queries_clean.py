@@ -114,24 +114,21 @@ def inf_to_median(spark, sf_dir):
     return cleaning.inf_to_median(df, ["flow_byts_s"]).withColumn("flow_byts_s", F.round("flow_byts_s", 6))
 
 
-LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
-
-
-@query("b9_drop_duplicates", f"SELECT DISTINCT {', '.join(LINE_KEY[4:])}, l_discount + 0e0 AS l_discount FROM lineitem")
+@query("b9_drop_duplicates", "SELECT DISTINCT * REPLACE (l_discount + 0e0 AS l_discount) FROM lineitem")
 def drop_duplicates(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select(*LINE_KEY[4:], (F.col("l_discount") + F.lit(0.0)).alias("l_discount"))
-    return cleaning.drop_duplicates(df)
+    lines = table(spark, sf_dir, "lineitem")
+    return cleaning.drop_duplicates(lines.withColumn("l_discount", F.col("l_discount") + F.lit(0.0)))
 
 
-@query("b9_duplicate_report", f"""
-WITH d AS (SELECT count(*) AS n FROM lineitem GROUP BY {', '.join(LINE_KEY)}),
+@query("b9_duplicate_report", """
+WITH d AS (SELECT DISTINCT * FROM lineitem),
      q AS (SELECT count(*) AS n FROM lineitem GROUP BY l_quantity, l_returnflag)
-SELECT 'line' AS subset, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct,
-       CAST(sum(n) - count(*) AS BIGINT) AS n_removed FROM d
+SELECT 'line' AS subset, (SELECT count(*) FROM lineitem) AS n_rows, count(*) AS n_distinct,
+       (SELECT count(*) FROM lineitem) - count(*) AS n_removed FROM d
 UNION ALL SELECT 'quantity', CAST(sum(n) AS BIGINT), count(*), CAST(sum(n) - count(*) AS BIGINT) FROM q""")
 def duplicate_report(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    whole = cleaning.duplicate_report(lines, LINE_KEY).withColumn("subset", F.lit("line"))
+    whole = cleaning.duplicate_report(lines, lines.columns).withColumn("subset", F.lit("line"))
     part = cleaning.duplicate_report(lines, ["l_quantity", "l_returnflag"]).withColumn("subset", F.lit("quantity"))
     return whole.unionByName(part)
 
@@ -193,26 +190,24 @@ def columns_by_type(spark, sf_dir):
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-@query("b16_preprocess", with_flows("""
-SELECT DISTINCT src_id, dst_port, tot_fwd_pkts, tot_bwd_pkts,
-  CASE WHEN isfinite(flow_byts_s) THEN flow_byts_s ELSE 0e0 END AS flow_byts_s,
-  trim(label) AS label, CASE WHEN lower(trim(label)) = 'benign' THEN 0 ELSE 1 END AS is_attack,
-  trim(label) AS attack_type
-FROM flows WHERE label IS NOT NULL"""))
+PREPROCESSED_SQL = """SELECT DISTINCT * REPLACE (
+    CASE WHEN isfinite(flow_byts_s) THEN flow_byts_s ELSE 0e0 END AS flow_byts_s, trim(label) AS label),
+  CASE WHEN lower(trim(label)) = 'benign' THEN 0 ELSE 1 END AS is_attack, trim(label) AS attack_type
+FROM flows WHERE label IS NOT NULL"""
+
+
+@query("b16_preprocess", with_flows(PREPROCESSED_SQL))
 def preprocess(spark, sf_dir):
-    df = flows(spark, sf_dir).select("src_id", "dst_port", "tot_fwd_pkts", "tot_bwd_pkts", "flow_byts_s", "label")
-    return cleaning.preprocess(df, label="label")
+    return cleaning.preprocess(flows(spark, sf_dir), label="label")
 
 
-@query("b16_preprocess_no_outliers", with_flows("""
-WITH base AS (SELECT DISTINCT flow_id, flow_duration, trim(label) AS label,
-    CASE WHEN lower(trim(label)) = 'benign' THEN 0 ELSE 1 END AS is_attack, trim(label) AS attack_type
-  FROM flows WHERE label IS NOT NULL),
+@query("b16_preprocess_no_outliers", with_flows(f"""
+WITH base AS ({PREPROCESSED_SQL}),
 q AS (SELECT quantile_cont(flow_duration, 0.25) AS q1, quantile_cont(flow_duration, 0.75) AS q3 FROM base)
 SELECT base.* FROM base, q WHERE flow_duration BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)"""))
 def preprocess_no_outliers(spark, sf_dir):
-    df = flows(spark, sf_dir).select("flow_id", "flow_duration", "label")
-    return cleaning.preprocess(df, True, "label", ["flow_duration"])
+    """Rows whose duration lies within the quartile fences."""
+    return cleaning.preprocess(flows(spark, sf_dir), True, "label", ["flow_duration"])
 
 
 @query("a6_hash_sample", with_flows(

@@ -1,4 +1,8 @@
-"""Queries that fit models on the tables. Sizes are small here; defaults are full size."""
+"""Queries that fit models on the tables.
+
+Logistic regression, random forests, naive Bayes and isolation forests are fitted at their default sizes; the
+boosted trees, the support vector machine, the perceptron and the searches take fewer rounds.
+"""
 
 from __future__ import annotations
 
@@ -47,12 +51,12 @@ def fitted_scores(spark: SparkSession, sf_dir: str, fit, **options) -> DataFrame
 
 @query("e1_fit_logistic")
 def fit_logistic(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_logistic, max_iter=20)
+    return fitted_scores(spark, sf_dir, models.fit_logistic)
 
 
 @query("e2_fit_random_forest")
 def fit_random_forest(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_random_forest, trees=10, depth=5)
+    return fitted_scores(spark, sf_dir, models.fit_random_forest)
 
 
 @query("e3_fit_gbt")
@@ -114,8 +118,8 @@ def nb_weighted(spark, sf_dir):
 
 
 def _vector_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    cols = [f"x{i}" for i in range(16)]
     df = table(spark, sf_dir, "embeddings")
+    cols = [f"x{i}" for i in range(df.agg(F.max(F.size("embedding"))).first()[0])]
     return df.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)]), cols
 
 
@@ -123,7 +127,7 @@ def _vector_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]
 def isolation_forest(spark, sf_dir):
     """Share of flows called anomalous, and how far they lie from the rest."""
     rows = labeled(spark, sf_dir)
-    forest = models.fit_isolation_forest(rows, "flow_id", FEATURES, trees=50)
+    forest = models.fit_isolation_forest(rows, "flow_id", FEATURES)
     scored = models.score_isolation_forest(rows, forest)
     return scored.groupBy("prediction").agg(
         F.count("*").alias("n"), F.round(F.avg("anomaly_score"), 6).alias("avg_score"),
@@ -133,7 +137,7 @@ def isolation_forest(spark, sf_dir):
 @query("e8_isolation_forest_vectors")
 def isolation_forest_vectors(spark, sf_dir):
     rows, cols = _vector_rows(spark, sf_dir)
-    forest = models.fit_isolation_forest(rows, "vec_id", cols, trees=50, contamination=0.05)
+    forest = models.fit_isolation_forest(rows, "vec_id", cols, contamination=0.05)
     return models.score_isolation_forest(rows, forest).select(
         "vec_id", F.round("anomaly_score", 6).alias("anomaly_score"), "prediction")
 
@@ -143,7 +147,7 @@ SELECT count(*) AS n, count(*) - 1 - CAST(floor(0.95e0 * (count(*) - 1)) AS BIGI
 def isolation_forest_share(spark, sf_dir):
     """The contamination sets how many rows are called anomalous."""
     rows, cols = _vector_rows(spark, sf_dir)
-    forest = models.fit_isolation_forest(rows, "vec_id", cols, trees=50, contamination=0.05)
+    forest = models.fit_isolation_forest(rows, "vec_id", cols, contamination=0.05)
     return models.score_isolation_forest(rows, forest).agg(
         F.count("*").alias("n"), F.count_if(F.col("prediction") == 1).alias("n_attacks"))
 
@@ -204,7 +208,7 @@ def log_run(spark, sf_dir):
 @query("f10_feature_importance")
 def feature_importance(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
-    model = models.fit_random_forest(train, FEATURES, trees=10, depth=5)
+    model = models.fit_random_forest(train, FEATURES)
     return models.feature_importance(model, spark, 10)
 
 
@@ -301,6 +305,6 @@ def smote_spread(spark, sf_dir):
 def predict_summary(spark, sf_dir):
     """Totals of a class-weighted logistic regression over all flows."""
     rows = balance.with_sample_weight(learn_rows(spark, sf_dir))
-    model = models.fit_logistic(rows, FEATURES, weight="weight", max_iter=10,
+    model = models.fit_logistic(rows, FEATURES, weight="weight",
                                 scaler=scaling.fit_continuous_scaler(rows, FEATURES))
     return scoring.batch_summary(predict(rows, model))

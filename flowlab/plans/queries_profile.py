@@ -10,7 +10,10 @@ from flowlab.plans.flows import flows, table, with_flows, with_labeled, with_sco
 from flowlab.plans.queries_clean import NUMERIC, SCALED, TRAIN_END, labeled
 from flowlab.plans.queries_metrics import scored
 
-QUALITY_COLS = ["flow_id", "flow_byts_s", "label", "tot_fwd_pkts"]
+QUALITY_COLS = ["flow_id", "flow_ts", "src_id", "dst_port", "src_port", "protocol", "flow_duration", "tot_fwd_pkts",
+                "tot_bwd_pkts", "totlen_fwd_pkts", "totlen_bwd_pkts", "pkt_len_mean", "pkt_len_std", "flow_iat_mean",
+                "flow_iat_std", "fin_flag_cnt", "syn_flag_cnt", "fwd_urg_flags", "bwd_urg_flags", "flow_byts_s",
+                "delta_start", "label"]
 
 
 def confident(spark, sf_dir):
@@ -25,7 +28,7 @@ CONFIDENT_SQL = """SELECT flow_id, flow_ts, p AS attack_probability, prediction,
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, 22 AS n_columns, count(*) - count({c}) AS n_null FROM flows"
     for c in QUALITY_COLS)))
 def quality_report(spark, sf_dir):
-    return profile.quality_report(flows(spark, sf_dir), QUALITY_COLS)
+    return profile.quality_report(flows(spark, sf_dir))
 
 
 @query("d2_missing_percent", with_flows("""
