@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from flowlab import models
+from flowlab.models import search
 from flowlab.models.base import predict
 from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling
@@ -102,6 +105,27 @@ def test_search_is_seeded(planted):
     assert top[0].feature == "feature_0" and len(top) == 2
 
 
+def test_points_of_the_default_space_split(planted):
+    """The least gain drawn as gamma must leave most trials a tree that splits."""
+    rng = random.Random(search.SEED)
+    points = [search.draw(search.SPACE, rng) for _ in range(5)]
+    grown = 0
+    for point in points:
+        options = {**search.gbt_options(point, planted.count()), "rounds": 1, "depth": 3}
+        model = models.fit_gbt(planted, FEATURES, **options)
+        grown += model.stages.stages[-1].trees[0].numNodes > 1
+    assert grown >= 4
+
+
+def test_synthetic_rows_are_named_by_base_and_copy(planted):
+    keys = lambda df: {(r.base_key, r.copy) for r in smote(df, "flow_id", "is_attack", FEATURES, with_origin=True)
+                       .filter("is_synthetic").select("base_key", "copy").collect()}
+    few = planted.filter("is_attack = 0 OR flow_id % 3 = 0")
+    named = keys(few)
+    made = smote(few, "flow_id", "is_attack", FEATURES).filter("is_synthetic").count()
+    assert named == keys(few.repartition(5)) and len(named) == made > 0
+
+
 def test_isolation_forest_in_any_partitioning(spark, planted):
     fit = lambda df: models.fit_isolation_forest(df, "flow_id", FEATURES, trees=20, psi=64)
     forest, again = fit(planted), fit(planted.repartition(5))
