@@ -9,7 +9,8 @@ Documents with equal sets are one node. A shingle that no other candidate has ca
 with too many of those has no link and leaves before any comparison, and a pair is compared only if what either
 shares with others could be enough. In each bucket nodes are first compared with the bucket's smallest node, so a
 group of copies costs a comparison per copy; only nodes of a bucket that are then still in different components
-are compared with each other, each pair once.
+are compared with each other, each pair once. Of those, pairs are left out by parities: a set is known by a bit
+per cell, and two sets differ in at least as many shingles as cells.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from flowlab.llm.shingles import digest, mix, shingle_set
 # A pair at similarity 0.85 shares no bucket with probability (1 - 0.85**4)**32 = 6e-11; at 0.8, 5e-8.
 BANDS, ROWS = 32, 4
 CHUNK = 4096
+# Cells whose parities a set is known by: tight for differences up to about half as many shingles.
+CELL_BITS = 11
 # Candidate keys up to this number are sent to all tasks to pick their texts; more are joined.
 BROADCAST_KEYS = 2_000_000
 
@@ -66,13 +69,20 @@ def _signatures(texts: pa.Array) -> pa.Array:
                                        pa.array(bands, pa.list_(pa.int64()))], ["n", "digest", "bands"])
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit per cell: is the number of shingles whose leading bits name that cell odd?"""
+    odd = np.bincount(shingles >> np.uint64(64 - CELL_BITS), minlength=1 << CELL_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), 256):
             sets = [shingle_set(t.as_py()) for t in batch.column(0)[start:start + 256]]
             yield pa.RecordBatch.from_arrays([pa.array(map(digest, sets), pa.binary()),
-                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                                             ["digest", "shingles"])
+                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                                              pa.array(map(parities, sets), pa.list_(pa.int64()))],
+                                             ["digest", "shingles", "parities"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -108,6 +118,15 @@ def _reachable(a: str, b: str, percent: int) -> Column:
     return most * 100 >= (F.col(f"{a}n") + F.col(f"{b}n") - most) * percent
 
 
+def _few_differ(a: str, b: str, percent: int) -> Column:
+    """Do so few cells differ between two nodes (columns n and parities) that they could reach the similarity?
+    Sets of na and nb shingles that differ in d of them have (na + nb - d) / 2 in common."""
+    cells = F.zip_with(f"{a}parities", f"{b}parities", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    d = F.aggregate(cells, F.lit(0), lambda total, one: total + one)
+    both = F.col(f"{a}n") + F.col(f"{b}n")
+    return (both - d) * 100 >= (both + d) * percent
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, could_be: bool = False) -> DataFrame:
     """Pairs (a, b) with a column ``linked``: do their full sets reach the similarity? Pairs that cannot are left out,
     which ``could_be`` says was seen to already."""
@@ -130,11 +149,11 @@ def _with_shared(sets: DataFrame, percent: int) -> DataFrame:
                .groupBy("_of").agg(F.count("*").alias("_private")))
     shared = F.col("n") - F.coalesce("_private", F.lit(0))
     return (sets.join(private, F.col("node") == F.col("_of"), "left")
-            .select("node", "n", "shingles", shared.alias("shared")).filter(F.col("shared") * 100 >= F.col("n") * percent))
+            .select("node", "n", "shingles", "parities", shared.alias("shared")).filter(F.col("shared") * 100 >= F.col("n") * percent))
 
 
 SIGNATURES = "struct<n:bigint,digest:binary,bands:array<bigint>>"
-SETS = "digest binary, shingles array<bigint>"
+SETS = "digest binary, shingles array<bigint>, parities array<bigint>"
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text",
@@ -172,7 +191,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     more = stored(_verified(_apart(with_hub.select(*pair).distinct(), roots).join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
     tried = tried.unionByName(more)
     roots = components(tried.filter("linked").select("a", "b"))
-    left = _left_in_buckets(buckets, roots, percent).join(tried, ["a", "b"], "left_anti")
+    left = _left_in_buckets(buckets, sets, roots, percent).join(tried, ["a", "b"], "left_anti")
     rest = stored(_verified(left, sets, percent, could_be=True), "tried")
     roots = components(tried.unionByName(rest).filter("linked").select("a", "b"))
     named = reps.join(roots, "node", "left").select("digest", "_least", F.coalesce("root", "node").alias("root"))
@@ -186,7 +205,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
 
 
 def _candidate_sets(base: DataFrame, signed: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Full shingle sets of the nodes that share a bucket: node, n, shingles."""
+    """Full shingle sets of the nodes that share a bucket: node, n, shingles, parities."""
     nodes = buckets.select(F.col("node").alias("_row")).distinct()
     wanted = stored(signed.join(nodes, "_row", "left_semi").select("_row", "_key", "digest", "n"), "wanted")
     keys = wanted.select(F.col("_key").alias("_wanted")).distinct()
@@ -196,7 +215,7 @@ def _candidate_sets(base: DataFrame, signed: DataFrame, buckets: DataFrame) -> D
     found = texts.select("_text").mapInArrow(_sets, SETS)
     # A key may stand for several texts, so the set decides; equal sets come once.
     return stored(wanted.select("digest", "n", F.col("_row").alias("node")).join(found, "digest")
-                  .dropDuplicates(["node"]).select("node", "n", "shingles"), "shingles")
+                  .dropDuplicates(["node"]).select("node", "n", "shingles", "parities"), "shingles")
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -210,19 +229,20 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a", "_ra"), roots, "b", "_rb").filter("_ra <> _rb").select("a", "b")
 
 
-def _left_in_buckets(buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _left_in_buckets(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that are in different components and could be linked, each in the first bucket they share."""
     rooted = stored(_rooted(buckets.select("band", "node", "n", "shared"), roots, "node", "root"), "rooted")
     mixed = rooted.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi")
     some = rooted.join(mixed.select("band"), "band", "left_semi")
     bands = some.groupBy("node").agg(F.collect_set("band").alias("bands"))  # BANDS at most
-    some = stored(some.join(bands, "node"), "mixed")
+    some = stored(some.join(bands, "node").join(sets.select("node", "parities"), "node"), "mixed")
 
     def side(name: str) -> DataFrame:
         return some.select(*[F.col(c).alias(f"{name}_{c}") for c in some.columns])
 
     pairs = side("a").join(side("b"), (F.col("a_band") == F.col("b_band")) & (F.col("a_node") < F.col("b_node"))
                            & (F.col("a_root") != F.col("b_root")) & _reachable("a_", "b_", percent)
+                           & _few_differ("a_", "b_", percent)
                            & (F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("a_band")))
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 

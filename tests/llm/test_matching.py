@@ -97,6 +97,30 @@ def test_signature_estimates_jaccard():
     assert abs((x == y).mean() - 0.6) < 0.15
 
 
+def test_parities_never_differ_in_more_cells_than_the_sets_in_shingles():
+    rng = np.random.default_rng(6)
+    for same, only_a, only_b in ((0, 1, 0), (50, 0, 0), (200, 40, 40), (5000, 300, 10), (100, 9000, 9000)):
+        common, a, b = (rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64) * np.uint64(2) for n in (same, only_a, only_b))
+        x, y = (near_dedup.parities(np.concatenate([common, s])) for s in (a, b))
+        cells = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert cells <= only_a + only_b and (cells - only_a - only_b) % 2 == 0
+        if only_a + only_b <= 100:
+            assert cells >= 0.8 * (only_a + only_b)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_few_differ_holds_for_every_pair_at_the_similarity(spark, percent):
+    docs = near_copies(seed=4)[:60]
+    sets = {k: shingles.shingle_set(t) for k, t in docs}
+    rows = [(a, len(sets[a]), near_dedup.parities(sets[a]).tolist(), b, len(sets[b]), near_dedup.parities(sets[b]).tolist())
+            for a in sets for b in sets if a < b]
+    frame = spark.createDataFrame(rows, "a bigint, a_n bigint, a_parities array<bigint>, b bigint, b_n bigint, b_parities array<bigint>")
+    may = {(r.a, r.b): r.may for r in frame.select("a", "b", near_dedup._few_differ("a_", "b_", percent).alias("may")).collect()}
+    both = {p: len(np.intersect1d(sets[p[0]], sets[p[1]])) for p in may}
+    linked = {p for p, c in both.items() if 100 * c >= percent * (len(sets[p[0]]) + len(sets[p[1]]) - c)}
+    assert linked and all(may[p] for p in linked) and sum(may.values()) < 1.2 * len(linked) + 5
+
+
 def test_shingle_sets():
     for text in ("", " \n", "a", "A b", "a  b\tc\x0bd e F g é É", "x " * 50):
         assert len(shingles.shingle_set(text)) == len(shingle_words(text))
