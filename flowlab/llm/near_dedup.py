@@ -158,7 +158,8 @@ SETS = "digest binary, shingles array<bigint>, parities array<bigint>"
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text",
                     with_hash: bool = False) -> DataFrame:
-    """One row per document: key, n_shingles, component_id, kept, and on request text_hash (64 bits).
+    """One row per document: key, n_shingles, component_id, kept, and on request text_hash (64 bits) and root, a number
+    of the component (null without words).
 
     ``component_id`` is the smallest key reachable over links of similarity ``percent`` / 100 or more, ``kept``
     whether that is the row's own. Documents without words (null texts among them) have no link and are their
@@ -196,9 +197,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     roots = components(tried.unionByName(rest).filter("linked").select("a", "b"))
     named = reps.join(roots, "node", "left").select("digest", "_least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    by_set = named.join(least, "root").select("digest", "component_id")
-    hashed = ["text_hash"] if with_hash else []
-    own = signed.filter("n = 0").select("_key", "n", F.col("_key").alias("component_id"), *hashed)
+    hashed = ["text_hash", "root"] if with_hash else []
+    by_set = named.join(least, "root").select("digest", "component_id", *hashed[1:])
+    own = signed.filter("n = 0").withColumn("root", F.lit(None).cast("bigint")).select(
+        "_key", "n", F.col("_key").alias("component_id"), *hashed)
     return (signed.filter("n > 0").join(by_set, "digest").select("_key", "n", "component_id", *hashed).unionByName(own)
             .select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), "component_id",
                     F.col("_key").eqNullSafe(F.col("component_id")).alias("kept"), *hashed))
@@ -248,15 +250,22 @@ def _left_in_buckets(buckets: DataFrame, sets: DataFrame, roots: DataFrame, perc
 
 
 def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, one of each group of near duplicates, with all their columns: the one with the smallest key.
+    """The documents, one of each group of near duplicates, with all their columns: of the texts with the group's
+    smallest key the one with the smallest hash, once. A null key never stands for a group that has another key.
 
-    Rows that repeat a key count as one document, of which the text with the smallest hash stays, once. A null key
-    never stands for a group that has another key; where all keys of a group are null, each of its texts stays once.
+    Texts in no group stay, once for each key, also where they share their key with other texts. Only texts without
+    words leave where a text with words stays under their key.
     """
-    named = near_duplicates(docs, percent, key, text, with_hash=True).filter("kept")
-    one = F.when(F.col(key).isNull(), F.col("text_hash"))
-    kept = stored(named.groupBy(F.col(key).alias("_kept_key"), one.alias("_kept_null")).agg(
-        F.min("text_hash").alias("_kept_hash"), F.count("*").alias("_kept_rows")).drop("_kept_null"), "kept")
+    named = near_duplicates(docs, percent, key, text, with_hash=True).select(
+        F.col(key).alias("_kept_key"), F.col("text_hash").alias("_kept_hash"), F.col("root").alias("_root"), "kept")
+    named = stored(named, "named")
+    grouped = named.filter("_root is not null")
+    # Kept rows of a group have one key, its smallest.
+    texts = grouped.filter("kept").groupBy("_root", "_kept_key", "_kept_hash").agg(F.count("*").alias("_kept_rows"))
+    one = texts.groupBy("_root").agg(F.min(F.struct("_kept_hash", "_kept_key", "_kept_rows")).alias("_one")).select("_one.*")
+    wordless = (named.filter("_root is null").groupBy("_kept_key", "_kept_hash").agg(F.count("*").alias("_kept_rows"))
+                .join(one.select("_kept_key").distinct(), "_kept_key", "left_anti"))
+    kept = stored(one.unionByName(wordless), "kept")
 
     def rows_of(keys: DataFrame) -> DataFrame:
         near = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
@@ -267,6 +276,5 @@ def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str
     several = kept.filter("_kept_rows > 1")
     if several.isEmpty():
         return out
-    first = Window.partitionBy("_kept_key", "_kept_hash").orderBy(*[F.col(c) for c in ("_kept_rows",)])
-    repeated = rows_of(several).withColumn("_kept_place", F.row_number().over(first)).filter("_kept_place = 1")
-    return out.unionByName(repeated.select(*docs.columns))
+    repeated = rows_of(several).dropDuplicates(["_kept_key", "_kept_hash"])
+    return out.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -83,6 +83,23 @@ def test_near_dedup_of_odd_rows(odd_docs, no_docs):
     assert near_dedup.keep_one(no_docs).collect() == []
 
 
+def test_keep_one_decides_per_text_not_per_key(spark):
+    rng = random.Random(9)
+    alone, first, second, third = (" ".join(f"{c}{rng.randrange(900)}" for _ in range(60)) for c in "abcd")
+    near = lambda t: t + " end"
+    docs = [(1, alone), (1, first), (2, near(first)), (1, second), (1, near(second)), (1, second), (None, third),
+            (None, near(third)), (None, third), (4, ""), (4, " "), (4, ""), (5, None), (5, near(first))]
+    rows = [(*d, i) for i, d in enumerate(docs)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, at int").repartition(3)
+    kept = near_dedup.keep_one(frame).collect()
+    assert sorted(r.text for r in kept if r.doc_id == 1 and r.text in (alone, first)) == sorted([alone, first])
+    assert [r.text in (second, near(second)) for r in kept if r.doc_id == 1].count(True) == 1
+    assert len([r for r in kept if r.doc_id is None]) == 1
+    assert sorted(r.text for r in kept if r.doc_id == 4) == ["", " "]
+    assert [r.text for r in kept if r.doc_id == 5] == [None]
+    assert len(kept) == 7
+
+
 def test_components_of_a_long_chain(spark):
     n = 40
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "a bigint, b bigint").repartition(3)
