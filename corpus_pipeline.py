@@ -20,8 +20,11 @@ from flowlab.llm.queries import TOXIC_FROM, language_rows, toxicity_rows
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without a letter (or text) go."""
+    """Documents with a letter, but none that the classifier calls ``und`` where that is a label it learned. Without a
+    row to learn from, every document with a letter stays."""
     model = langid.fit(language_rows(docs))
+    if model is None:
+        return docs.filter(langid.has_letter(F.col("text")))
     return docs.filter(langid.predicted(spark, model, F.col("text"))["lang_pred"] != "und")
 
 

@@ -146,6 +146,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
     return fit_kernel_ridge(sorted(set(labels)), [np.array(r.columns, np.int32) for r in rows], labels)
 
 
+def has_letter(text: Column) -> Column:
+    """Is there a letter in the text? Not in a null one."""
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def predicted(spark: SparkSession, model: LanguageModel | None, text: Column) -> Column:
     """Struct (lang_pred, score) for a text: the language of the largest regression value, and that value
     brought to 0 to 1. Null texts and texts without a letter are ``und`` with score 0, and so is every text when
@@ -164,6 +169,6 @@ def predicted(spark: SparkSession, model: LanguageModel | None, text: Column) ->
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                           ["lang_pred", "score"])
 
-    has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    letter = has_letter(text)
     none = F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    return F.when(has_letter, predict(F.when(has_letter, text).otherwise(F.lit("")))).otherwise(none)
+    return F.when(letter, predict(F.when(letter, text).otherwise(F.lit("")))).otherwise(none)

@@ -111,6 +111,15 @@ def test_stages(spark, sf):
         docs = out
 
 
+def test_language_stage_without_labels(spark, sf):
+    rows = [(i, t, None, None, None) for i, t in enumerate(["one two", "数据", "12 ...", "", None])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, sf).collect()} == {0, 1}
+    unlearned = docs.selectExpr("doc_id", "text", "case when crc32(cast(doc_id as string)) % 5 = 0 then 'en' end as lang",
+                                "source", "n_chars")
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, unlearned, sf).collect()} == {0, 1}
+
+
 def test_run(spark, sf):
     from tokenizers import Tokenizer
 
