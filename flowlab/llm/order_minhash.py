@@ -1,9 +1,10 @@
 """Order MinHash fingerprints, with DataFrame expressions only.
 
-A text is read as tokens (runs of up to eight characters without blanks); K tokens in a row are a k-mer, and
-repeats of a k-mer are told apart by their occurrence number. The hash of (k-mer, occurrence) deals every k-mer to
-one of BINS sketches and ranks it there; a sketch keeps its MINIMA smallest, puts them back in text order and
-hashes that tuple. Two fingerprints are as alike as the share of sketches with equal tuples, so moved text
+A text is read as tokens: runs of characters without blanks, cut after every eighth character. Longer runs than two
+such tokens are read as the eight characters from each of their places, so that a character more or less does not
+move all later cuts of a text without blanks. K tokens in a row are a k-mer, and repeats of a k-mer are told apart
+by their occurrence number. The hash of (k-mer, occurrence) deals every k-mer to one of BINS sketches and ranks it
+there; a sketch keeps its MINIMA smallest, puts them back in text order and hashes that tuple. Two fingerprints are as alike as the share of sketches with equal tuples, so moved text
 counts as different though its k-mers are the same.
 """
 
@@ -13,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, BINS, MINIMA = 3, 64, 2
-TOKEN = r"\S{1,8}"
+# A run of over 16 characters as a whole, or a token; then the tokens of such a run.
+TOKEN, LONG = r"\S{16}\S+|\S{1,8}", 16
+PLACES = r"(?=(\S{8}))\S"
 # A k-mer is one long: 35 bits of hash, of which the first 6 tell the bin, then 28 bits of place.
 PLACE_BITS, HASH_BITS = 28, 35
 BIN_SHIFT = PLACE_BITS + HASH_BITS - (BINS - 1).bit_length()
@@ -37,13 +40,22 @@ def _bin(kmer: Column) -> Column:
     return F.shiftright(kmer, BIN_SHIFT)
 
 
+def tokens(text: Column) -> Column:
+    """The tokens of a text in their order."""
+    def cut(runs: Column) -> Column:
+        return F.flatten(F.transform(runs, lambda run: F.when(
+            F.char_length(run) > LONG, F.regexp_extract_all(run, F.lit(PLACES), F.lit(1))).otherwise(F.array(run))))
+
+    runs = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.when(text.rlike(rf"\S{{{LONG + 1}}}"), cut(runs)).otherwise(runs)
+
+
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: array of longs, bin number before 32 bits of the tuple's hash, for each bin that has a k-mer.
 
     A null text is an empty one; a text without tokens has an empty array; one with fewer than K tokens has one
     k-mer of what there is. Steps are columns of their own so that each array is made once.
     """
-    tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0))
     kmers = F.transform(
         F.slice("_tokens", 1, F.greatest(F.size("_tokens") - (K - 1), F.least(F.size("_tokens"), F.lit(1)))),
         lambda t, i: _pack(F.xxhash64(t, *[F.get("_tokens", i + j) for j in range(1, K)]), i))
@@ -66,7 +78,8 @@ def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
         return F.when((i == 0) | (_bin(F.get("_minima", i - 1)) != _bin(x)),
                       F.shiftleft(_bin(x), 32).bitwiseOR(F.shiftrightunsigned(F.xxhash64(hashes), 32)))
 
-    return (df.withColumn("_tokens", tokens).withColumn("_kmers", F.sort_array(kmers)).drop("_tokens")
+    return (df.withColumn("_tokens", tokens(F.coalesce(F.col(text), F.lit(""))))
+            .withColumn("_kmers", F.sort_array(kmers)).drop("_tokens")
             .withColumn("_again", again)
             .withColumn("_starts", F.when(F.size("_again") > 0, starts).otherwise(F.array().cast("array<int>")))
             .withColumn("_ranked", F.when(F.size("_again") > 0, F.sort_array(F.concat(firsts, numbered)))

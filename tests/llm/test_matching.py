@@ -270,6 +270,24 @@ def test_sketch_sees_order(spark):
     assert same == 1 and near > 0.7 > far > 0.2
 
 
+def test_sketch_stands_an_insertion_in_text_without_blanks(spark):
+    rng = random.Random(3)
+    from pyspark.sql import functions as F
+
+    for alphabet in ([chr(c) for c in range(0x4E00, 0x5200)], [chr(c) for c in range(0x20000, 0x20400)], "abcdefghij0123456789+/"):
+        for n in (100, 3000):
+            a = "".join(rng.choice(alphabet) for _ in range(n))
+            frame = spark.createDataFrame([(a, a[:5] + alphabet[0] + a[5:], "".join(sorted(a)))], "a string, b string, c string")
+            for c in "abc":
+                frame = order_minhash.with_sketch(frame, c, f"s{c}")
+            near, far = frame.select(*[order_minhash.likeness(F.col("sa"), F.col(x)) for x in ("sb", "sc")]).first()
+            assert near > 0.7 and far < 0.3
+    # A character off the first plane is one character, at the end of a run too.
+    run = "".join(chr(0x20000 + i) for i in range(17))
+    got = spark.createDataFrame([(f"ab {run} averylongword",)], "t string").select(order_minhash.tokens(F.col("t"))).first()[0]
+    assert got == ["ab", *[run[i:i + 8] for i in range(10)], "averylon", "gword"]
+
+
 def test_fingerprints_of_odd_rows(odd_docs, no_docs, spark):
     rows = order_minhash.fingerprints_with_next(odd_docs).collect()
     docs = sorted(((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in odd_docs.collect()))
