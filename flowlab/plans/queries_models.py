@@ -1,7 +1,6 @@
 """Queries that fit models on the tables.
 
-Logistic regression, random forests, naive Bayes and isolation forests are fitted at their default sizes; the
-boosted trees, the support vector machine, the perceptron and the searches take fewer rounds.
+All models are fitted, and the searches run, at the operators' default sizes.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlab import models
 from flowlab.models.base import FlowModel, predict
+from flowlab.models.classifiers import LEAFWISE_DEPTH
 from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling, scoring, splitting
 from flowlab.operators.smote import smote
@@ -61,7 +61,7 @@ def fit_random_forest(spark, sf_dir):
 
 @query("e3_fit_gbt")
 def fit_gbt(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_gbt, rounds=5, depth=4)
+    return fitted_scores(spark, sf_dir, models.fit_gbt)
 
 
 @query("e3_fit_gbt_validated")
@@ -69,7 +69,7 @@ def fit_gbt_validated(spark, sf_dir):
     """Boosting watches the validation period; scored on the test period."""
     train, val, test = parts(spark, sf_dir)
     rows = balance.with_pos_weight(train)
-    model = models.fit_gbt(rows, FEATURES, weight="weight", val=val, rounds=5, depth=4)
+    model = models.fit_gbt(rows, FEATURES, weight="weight", val=val)
     values = score_run(model, test, "is_attack")
     return spark.createDataFrame([tuple(float(v) for v in values.values())],
                                  ", ".join(f"{m} double" for m in values))
@@ -77,17 +77,17 @@ def fit_gbt_validated(spark, sf_dir):
 
 @query("e4_fit_gbt_deep")
 def fit_gbt_deep(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_gbt, rounds=2, depth=10, kind="DeepGradientBoosting")
+    return fitted_scores(spark, sf_dir, models.fit_gbt, depth=LEAFWISE_DEPTH, kind="DeepGradientBoosting")
 
 
 @query("e5_fit_calibrated_svm")
 def fit_calibrated_svm(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_calibrated_svm, max_iter=5)
+    return fitted_scores(spark, sf_dir, models.fit_calibrated_svm)
 
 
 @query("e6_fit_mlp")
 def fit_mlp(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_mlp, layers=(10, 5), max_iter=20, step=10)
+    return fitted_scores(spark, sf_dir, models.fit_mlp)
 
 
 @query("e7_fit_gaussian_nb")
@@ -152,27 +152,18 @@ def isolation_forest_share(spark, sf_dir):
         F.count("*").alias("n"), F.count_if(F.col("prediction") == 1).alias("n_attacks"))
 
 
-TUNE_SPACE = {"max_depth": ("int", 2, 4), "learning_rate": ("log", 0.01, 0.3), "n_estimators": ("int", 2, 4),
-              "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
-              "gamma": ("float", 0.0, 0.01), "min_child_weight": ("int", 1, 10),
-              "reg_alpha": ("float", 0.0, 10.0), "reg_lambda": ("float", 0.0, 10.0)}
-
-
 @query("e9_tune")
 def tune(spark, sf_dir):
     train, val, _ = parts(spark, sf_dir)
-    trials, _ = models.tune(train, val, FEATURES, space=TUNE_SPACE, n=3)
+    trials, _ = models.tune(train, val, FEATURES)
     return trials.select("trial", F.round("pr_auc", 6).alias("pr_auc"),
                          F.map_values("params").alias("params"))
 
 
-GRID_OPTIONS = {"LR": {"max_iter": 10}, "RF": {"trees": 5, "depth": 4}, "XGB": {"rounds": 2, "depth": 3}}
-
-
 def grid(spark, sf_dir, **more):
     train, val, test = parts(spark, sf_dir)
     out = fresh_folder(spark, "models")
-    board, model = jobs.train_best(train, val.unionByName(test), out, FEATURES, "flow_id", options=GRID_OPTIONS, **more)
+    board, model = jobs.train_best(train, val.unionByName(test), out, FEATURES, "flow_id", **more)
     return board, model, out
 
 

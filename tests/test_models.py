@@ -13,7 +13,7 @@ from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling
 from flowlab.operators.neighbours import distinct_points, nearest
 from flowlab.operators.smote import smote, synthesize
-from flowlab.plans import jobs
+from flowlab.plans import catalog, jobs
 from flowlab.session import fresh_folder
 
 FEATURES = [f"feature_{i}" for i in range(4)]
@@ -126,6 +126,25 @@ def test_synthetic_rows_are_named_by_base_and_copy(planted):
     assert named == keys(few.repartition(5)) and len(named) == made > 0
 
 
+@pytest.mark.parametrize("name", ["e3_fit_gbt", "e3_fit_gbt_validated", "e4_fit_gbt_deep", "e5_fit_calibrated_svm",
+                                  "e6_fit_mlp", "e9_tune", "e10_train_grid", "e12_save_model"])
+def test_queries_fit_at_the_default_sizes(spark, sf, monkeypatch, name):
+    class Called(Exception):
+        pass
+
+    def record(*_, **options):
+        raise Called(options)
+
+    for at in ("fit_gbt", "fit_calibrated_svm", "fit_mlp", "tune"):
+        monkeypatch.setattr(models, at, record)
+    monkeypatch.setattr(jobs, "train_best", record)
+    catalog.load_all()
+    with pytest.raises(Called) as called:
+        catalog.QUERIES[name](spark, sf)
+    sizes = {"rounds", "max_iter", "layers", "step", "space", "n", "options", "depth"}
+    assert {k: v for k, v in called.value.args[0].items() if k in sizes} == ({"depth": 10} if name == "e4_fit_gbt_deep" else {})
+
+
 def test_isolation_forest_in_any_partitioning(spark, planted):
     fit = lambda df: models.fit_isolation_forest(df, "flow_id", FEATURES, trees=20, psi=64)
     forest, again = fit(planted), fit(planted.repartition(5))
