@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from flowlab.llm import (
     chat,
     decontamination,
+    hard_negatives,
     langid,
     near_dedup,
     order_minhash,
     packing,
+    quality_rules,
     sharding,
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 from flowlab.llm.common import crc_of_id, parquet
 
@@ -120,9 +123,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document and the verdict of the threshold table."""
+    return quality_rules.judge(parquet(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four components."""
+    vectors = parquet(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, k=4)
+    shares = F.array(*[F.lit(float(v / model.trace)) for v in model.values]).cast("array<double>")
+    return whitening.transform(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("_i", "whitened")).select(
+        "vec_id", (F.col("_i") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("_i")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding for each of its five positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = parquet(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, k=5, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_order_minhash, op3_near_dedup, op4_warc, op5_language_id,
-                            op6_decontamination, op7_token_counts, op8_chat_format, op9_sharding, op10_packing)}
+                            op6_decontamination, op7_token_counts, op8_chat_format, op9_sharding, op10_packing, op11_quality_rules,
+                            op12_whitening, op13_hard_negatives)}
 
 # Words of a text as the near-duplicate operators read them, then its five-word shingles.
 _SHINGLES = r"""
@@ -162,4 +189,38 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length(escaped) + CASE WHEN goes_on THEN 8 ELSE length(url_encode(role)) + 10 END)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id""",
+    "op11_quality_rules": r"""
+WITH words AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6),
+              lambda i: array_to_string(list_slice(w, i, i + 7), ' '))) AS s FROM words WHERE len(w) > 7),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM again, range(8) AS r(o) GROUP BY doc_id),
+lines AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words),
+measured AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_lettered,
+    len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
+    len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\t]*[-*\x{2022}\x{2023}]')))::BIGINT AS n_bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[\x20\t\r]*$')))::BIGINT AS n_ellipses,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words FROM lines LEFT JOIN covered USING (doc_id)),
+based AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 2000 * n_words AND 100 * n_symbols <= 20 * n_words
+       AND 100 * n_lettered >= 60 * n_words AND 100 * n_stop_words >= n_words AND 100 * n_dup_lines <= 50 * n_lines
+       AND 100 * n_bullets <= 90 * n_lines AND 100 * n_ellipses <= 50 * n_lines AS kept
+FROM based""".replace("{stop}", ", ".join(f"'{w}'" for w in quality_rules.stop_forms())),
+    "op13_hard_negatives": """
+WITH rows_ AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (SELECT a.id AS anchor_id, a.label = b.label AS same, b.id, list_inner_product(a.x, b.x)::BIGINT AS s
+           FROM rows_ a JOIN rows_ b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (SELECT anchor_id, id AS positive_id, s AS positive_score FROM scores WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER near::INTEGER AS rank, id AS negative_id, positive_score, s AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+WINDOW near AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, id) QUALIFY row_number() OVER near <= 5""",
 }
