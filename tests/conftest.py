@@ -7,9 +7,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from flowlab.session import build_session, shared_folder  # noqa: E402
+from compare import SF  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+from flowlab.session import build_session, shared_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")

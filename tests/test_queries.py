@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from compare import connect, differences
-from conftest import SF
+from compare import SF, connect, differences
 
 import __spark_entry__ as entry
 
