@@ -5,6 +5,7 @@ from flowlab.models.classifiers import (  # noqa: F401
     fit_calibrated_svm,
     fit_gaussian_nb,
     fit_gbt,
+    fit_leafwise_gbt,
     fit_logistic,
     fit_mlp,
     fit_random_forest,
@@ -16,5 +17,5 @@ from flowlab.models.isolation_forest import (  # noqa: F401
     save_forest,
     score_isolation_forest,
 )
-from flowlab.models.search import feature_importance, train_grid, tune  # noqa: F401
+from flowlab.models.search import feature_importance, train_grid, tune, tune_by_halving  # noqa: F401
 from flowlab.models.store import load_model, log_run, model_info, read_runs, save_model  # noqa: F401

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from flowlab.functions import hash_hex
 from flowlab.models.base import VECTOR, FlowModel, with_vector
+from flowlab.models.boosting import Growth, fit_boosted
 from flowlab.operators.features import class_counts
 from flowlab.operators.vectors import Scaler, feature_array
 
@@ -28,7 +28,7 @@ SEED = 42
 LOGISTIC_ITERATIONS = 1000
 FOREST_TREES, FOREST_DEPTH = 100, 10
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = 100, 6, 0.1
-LEAFWISE_DEPTH = 10
+LEAFWISE_DEPTH, LEAFWISE_LEAVES, LEAFWISE_ROWS, LEAFWISE_WEIGHT = 10, 31, 20, 1e-3
 SVM_ITERATIONS, SVM_FOLDS = 2000, 3
 MLP_LAYERS, MLP_BLOCK, MLP_ITERATIONS, MLP_PATIENCE, MLP_TOLERANCE = (100, 50), 512, 500, 10, 1e-4
 NB_SMOOTHING = 1e-9
@@ -81,17 +81,25 @@ def fit_gbt(
     train: DataFrame, features: Sequence[str], label: str = "is_attack", weight: str | None = None,
     scaler: Scaler | None = None, val: DataFrame | None = None, depth: int = BOOST_DEPTH,
     rate: float = BOOST_RATE, rounds: int = BOOST_ROUNDS, seed: int = SEED, kind: str = "GradientBoosting",
-    **params,
+    **growth,
 ) -> FlowModel:
-    """Gradient-boosted trees; with ``val`` boosting stops when it no longer gains there."""
-    rows = _training(train, features, label, weight, scaler)
-    options = dict(featuresCol=VECTOR, labelCol="y", weightCol="w", maxDepth=depth, stepSize=rate,
-                   maxIter=rounds, seed=seed, **params)
-    if val is not None:
-        held = _training(val, features, label, weight if weight in val.columns else None, scaler)
-        rows = rows.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
-        options["validationIndicatorCol"] = "held"
-    return _model([GBTClassifier(**options).fit(rows)], features, scaler, kind)
+    """Second-order boosted trees, level by level; with ``val`` they end at the best round there.
+
+    ``growth`` takes the other fields of ``boosting.Growth``: subsample, colsample, gamma, penalties, least weight.
+    """
+    chosen = Growth(rounds=rounds, depth=depth, rate=rate, seed=seed, **growth)
+    return fit_boosted(train, features, chosen, label, weight, scaler, val, kind)
+
+
+def fit_leafwise_gbt(
+    train: DataFrame, features: Sequence[str], label: str = "is_attack", weight: str | None = None,
+    scaler: Scaler | None = None, val: DataFrame | None = None, depth: int = LEAFWISE_DEPTH,
+    leaves: int = LEAFWISE_LEAVES, **options,
+) -> FlowModel:
+    """Boosted trees that split the open leaf with the largest gain, up to ``leaves`` leaves and ``depth`` levels."""
+    chosen = {"reg_lambda": 0.0, "min_child_rows": LEAFWISE_ROWS, "min_child_weight": LEAFWISE_WEIGHT,
+              "kind": "LeafwiseGradientBoosting", **options}
+    return fit_gbt(train, features, label, weight, scaler, val, depth=depth, leaves=leaves, **chosen)
 
 
 def fit_calibrated_svm(

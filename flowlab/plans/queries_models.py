@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from flowlab import models
 from flowlab.models.base import FlowModel, predict
-from flowlab.models.classifiers import LEAFWISE_DEPTH
 from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling, scoring, splitting
 from flowlab.operators.smote import smote
@@ -77,7 +76,7 @@ def fit_gbt_validated(spark, sf_dir):
 
 @query("e4_fit_gbt_deep")
 def fit_gbt_deep(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, models.fit_gbt, depth=LEAFWISE_DEPTH, kind="DeepGradientBoosting")
+    return fitted_scores(spark, sf_dir, models.fit_leafwise_gbt)
 
 
 @query("e5_fit_calibrated_svm")
@@ -160,6 +159,15 @@ def tune(spark, sf_dir):
                          F.map_values("params").alias("params"))
 
 
+@query("e9_tune_by_halving")
+def tune_by_halving(spark, sf_dir):
+    """The same points by successive halving: a trial's score is that of its last rung."""
+    train, val, _ = parts(spark, sf_dir)
+    trials, _ = models.tune_by_halving(train, val, FEATURES)
+    return trials.select("trial", "rounds", F.round("pr_auc", 6).alias("pr_auc"),
+                         F.map_values("params").alias("params"))
+
+
 def grid(spark, sf_dir, **more):
     train, val, test = parts(spark, sf_dir)
     out = fresh_folder(spark, "models")

@@ -34,11 +34,13 @@ def build_session(
     return builder.getOrCreate()
 
 
-# Sizes a cluster may tune: rows per ordered slice, rows gathered per quantile, points per block.
+# Sizes a cluster may tune: rows per ordered slice, rows gathered per quantile, points per block, rows of a
+# tree's branch that one task grows.
 SIZES = {
     "spark.flowlab.rowsPerSlice": 1_000_000,
     "spark.flowlab.gatherRows": 50_000,
     "spark.flowlab.blockRows": 4_096,
+    "spark.flowlab.subtreeRows": 100_000,
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowlab import models
 from flowlab.models import search
 from flowlab.models.base import predict
+from flowlab.models.boosting import SideBySide
 from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling
 from flowlab.operators.neighbours import distinct_points, nearest
@@ -40,6 +41,7 @@ def weighted(planted):
     (models.fit_logistic, {"max_iter": 20}),
     (models.fit_random_forest, {"trees": 5, "depth": 4}),
     (models.fit_gbt, {"rounds": 3, "depth": 3}),
+    (models.fit_leafwise_gbt, {"rounds": 3, "leaves": 6}),
     (models.fit_calibrated_svm, {"max_iter": 5}),
     (models.fit_mlp, {"layers": (4,), "max_iter": 20, "step": 10}),
     (models.fit_gaussian_nb, {}),
@@ -108,13 +110,36 @@ def test_search_is_seeded(planted):
 def test_points_of_the_default_space_split(planted):
     """The least gain drawn as gamma must leave most trials a tree that splits."""
     rng = random.Random(search.SEED)
-    points = [search.draw(search.SPACE, rng) for _ in range(5)]
-    grown = 0
-    for point in points:
-        options = {**search.gbt_options(point, planted.count()), "rounds": 1, "depth": 3}
-        model = models.fit_gbt(planted, FEATURES, **options)
-        grown += model.stages.stages[-1].trees[0].numNodes > 1
-    assert grown >= 4
+    points = [search.growth_of(search.draw(search.SPACE, rng), 42) for _ in range(5)]
+    boosts = SideBySide(planted, FEATURES, points)
+    boosts.advance({p: 1 for p in range(5)})
+    assert sum(len(e.trees[0].feature) > 1 for e in boosts.ensembles) >= 4
+
+
+def test_halving_finds_the_best_point(planted):
+    """On a planted table the point that learns at all wins either way, with fewer rounds in all."""
+    space = {"max_depth": ("int", 2, 4), "learning_rate": ("log", 0.0001, 0.5), "n_estimators": ("int", 4, 8),
+             "subsample": ("float", 1, 1), "colsample_bytree": ("float", 1, 1), "gamma": ("float", 0, 400),
+             "min_child_weight": ("int", 1, 2), "reg_alpha": ("float", 0, 1), "reg_lambda": ("float", 0, 1)}
+    noisy = planted.withColumn("feature_0", F.col("feature_0") * 0.3 + F.col("feature_1"))
+    train, val = noisy.filter("flow_id % 3 > 0"), noisy.filter("flow_id % 3 = 0")
+    full, best = models.tune(train, val, FEATURES, space=space, n=8)
+    halved, again = models.tune_by_halving(train, val, FEATURES, space=space, n=8, rungs=3)
+    assert best.meta["params"] == again.meta["params"] and best.meta["metrics"] == again.meta["metrics"]
+    rounds = [sum(r.rounds for r in t.collect()) for t in (full, halved)]
+    assert rounds[1] < rounds[0] and halved.count() == 8
+
+
+@pytest.mark.parametrize("fit", [models.fit_gbt, models.fit_leafwise_gbt])
+def test_stored_trees_score_the_same(spark, planted, fit):
+    scaler = scaling.fit_scaler(planted, FEATURES)
+    model = fit(planted, FEATURES, scaler=scaler, rounds=2)
+    path = fresh_folder(spark, "model")
+    models.save_model(spark, model, path, {"model_name": "GBT"})
+    again = models.load_model(spark, path)
+    a, b = (predict(planted, m).select("flow_id", "attack_probability") for m in (model, again))
+    assert a.exceptAll(b).isEmpty() and again.meta["model_type"] == model.meta["model_type"]
+    assert "boosted" not in again.meta and again.features == FEATURES
 
 
 def test_synthetic_rows_are_named_by_base_and_copy(planted):
@@ -127,7 +152,7 @@ def test_synthetic_rows_are_named_by_base_and_copy(planted):
 
 
 @pytest.mark.parametrize("name", ["e3_fit_gbt", "e3_fit_gbt_validated", "e4_fit_gbt_deep", "e5_fit_calibrated_svm",
-                                  "e6_fit_mlp", "e9_tune", "e10_train_grid", "e12_save_model"])
+                                  "e6_fit_mlp", "e9_tune", "e9_tune_by_halving", "e10_train_grid", "e12_save_model"])
 def test_queries_fit_at_the_default_sizes(spark, sf, monkeypatch, name):
     class Called(Exception):
         pass
@@ -135,14 +160,14 @@ def test_queries_fit_at_the_default_sizes(spark, sf, monkeypatch, name):
     def record(*_, **options):
         raise Called(options)
 
-    for at in ("fit_gbt", "fit_calibrated_svm", "fit_mlp", "tune"):
+    for at in ("fit_gbt", "fit_leafwise_gbt", "fit_calibrated_svm", "fit_mlp", "tune", "tune_by_halving"):
         monkeypatch.setattr(models, at, record)
     monkeypatch.setattr(jobs, "train_best", record)
     catalog.load_all()
     with pytest.raises(Called) as called:
         catalog.QUERIES[name](spark, sf)
-    sizes = {"rounds", "max_iter", "layers", "step", "space", "n", "options", "depth"}
-    assert {k: v for k, v in called.value.args[0].items() if k in sizes} == ({"depth": 10} if name == "e4_fit_gbt_deep" else {})
+    sizes = {"rounds", "max_iter", "layers", "epochs", "batch", "space", "n", "options", "depth", "leaves", "rungs", "keep"}
+    assert not sizes & set(called.value.args[0])
 
 
 def test_isolation_forest_in_any_partitioning(spark, planted):

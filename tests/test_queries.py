@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Fits of several models; they run in test_models on one small table.
 SLOW = {"e1_fit_logistic", "e2_fit_random_forest", "e3_fit_gbt", "e3_fit_gbt_validated", "e4_fit_gbt_deep",
-        "e5_fit_calibrated_svm", "e6_fit_mlp", "e9_tune", "e10_train_grid"}
+        "e5_fit_calibrated_svm", "e6_fit_mlp", "e9_tune", "e9_tune_by_halving", "e10_train_grid"}
 
 
 @pytest.fixture(scope="module")
