@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -40,6 +42,28 @@ class FlowModel:
         return scored.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(out))
 
 
+@dataclass
+class ArrayModel(FlowModel):
+    """A model that is a few arrays in the place of Spark ML stages; subclasses say how rows are scored by them."""
+
+    packed: dict[str, np.ndarray] = field(default_factory=dict)
+    stored_as = ""
+
+    @staticmethod
+    def probabilities(packed: Mapping[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def score(self, df: DataFrame, out: str = "attack_probability") -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast(self.packed)
+        width, probabilities = len(self.features), self.probabilities
+
+        @F.arrow_udf("double")
+        def scored(x: pa.Array) -> pa.Array:
+            return pa.array(probabilities(shared.value, x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)))
+
+        return df.select(*[F.col(f"`{c}`") for c in df.columns], scored(feature_array(df, self.features, self.scaler)).alias(out))
+
+
 def predict(
     df: DataFrame, model: FlowModel, threshold: float = THRESHOLD, high: float = HIGH_CONFIDENCE,
     only_features: bool = False, keep: Sequence[str] = (),

@@ -8,7 +8,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -30,7 +29,6 @@ FOREST_TREES, FOREST_DEPTH = 100, 10
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = 100, 6, 0.1
 LEAFWISE_DEPTH, LEAFWISE_LEAVES, LEAFWISE_ROWS, LEAFWISE_WEIGHT = 10, 31, 20, 1e-3
 SVM_ITERATIONS, SVM_FOLDS = 2000, 3
-MLP_LAYERS, MLP_BLOCK, MLP_ITERATIONS, MLP_PATIENCE, MLP_TOLERANCE = (100, 50), 512, 500, 10, 1e-4
 NB_SMOOTHING = 1e-9
 
 
@@ -141,54 +139,6 @@ def fit_calibrated_svm(
                   probability=[f"probability_{i}" for i in range(folds)])
 
 
-def replicate_by_weight(df: DataFrame, key: str, weight: str, seed: int = SEED) -> DataFrame:
-    """Repeat each row weight / (smallest weight) times; the fraction is settled by key hash."""
-    least = df.agg(F.min(weight)).first()[0] or 1.0
-    times = F.col(weight) / F.lit(float(least))
-    whole = F.floor(times)
-    u = F.conv(F.substring(hash_hex(key, seed=seed), 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
-    copies = whole + (u < times - whole).cast("int")
-    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("__copy")
-
-
-def fit_mlp(
-    train: DataFrame, features: Sequence[str], label: str = "is_attack", weight: str | None = None,
-    scaler: Scaler | None = None, key: str = "flow_id", layers: Sequence[int] = MLP_LAYERS,
-    max_iter: int = MLP_ITERATIONS, step: int = 50, holdout: float = 0.1, patience: int = MLP_PATIENCE,
-    tolerance: float = MLP_TOLERANCE, seed: int = SEED,
-) -> FlowModel:
-    """Multilayer perceptron with early stopping on a held-out share of the keys.
-
-    Training goes on from the last weights in steps of iterations and stops once accuracy on the
-    held-out rows has not grown for ``patience`` iterations. Weights act by repeating rows.
-    """
-    held_out = hash_hex(key, seed=seed) < f"{int(holdout * 16**8):08x}"
-    part, held = train.filter(~held_out), train.filter(held_out)
-    if weight:
-        part = replicate_by_weight(part, key, weight, seed)
-    fit_rows = _training(part, features, label, None, scaler).cache()
-    check_rows = _training(held, features, label, None, scaler).cache()
-    weights, best, best_weights, waited, done, fit = None, -1.0, None, 0, 0, None
-    shape = [len(features), *layers, 2]
-    right = F.avg((F.col("prediction") == F.col("y")).cast("double"))
-    while done < max_iter and waited < patience:
-        now = min(step, max_iter - done)
-        net = MultilayerPerceptronClassifier(featuresCol=VECTOR, labelCol="y", layers=shape,
-                                             blockSize=MLP_BLOCK, maxIter=now, seed=seed)
-        if weights is not None:
-            net = net.setInitialWeights(weights)
-        fit = net.fit(fit_rows)
-        weights, done = fit.weights, done + now
-        accuracy = fit.transform(check_rows).agg(right).first()[0] or 0.0
-        if accuracy > best + tolerance:
-            best, best_weights, waited = accuracy, fit, 0
-        else:
-            waited += now
-    fit_rows.unpersist()
-    check_rows.unpersist()
-    return _model([best_weights or fit], features, scaler, "MultilayerPerceptron", iterations=done)
-
-
 def fit_gaussian_nb(
     train: DataFrame, features: Sequence[str], label: str = "is_attack", weight: str | None = None,
     scaler: Scaler | None = None,

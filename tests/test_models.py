@@ -43,7 +43,7 @@ def weighted(planted):
     (models.fit_gbt, {"rounds": 3, "depth": 3}),
     (models.fit_leafwise_gbt, {"rounds": 3, "leaves": 6}),
     (models.fit_calibrated_svm, {"max_iter": 5}),
-    (models.fit_mlp, {"layers": (4,), "max_iter": 20, "step": 10}),
+    (models.fit_mlp, {"layers": (8,), "epochs": 15, "batch": 64, "rate": 0.02}),
     (models.fit_gaussian_nb, {}),
 ])
 @pytest.mark.parametrize("weight", [None, "weight"])
@@ -130,16 +130,17 @@ def test_halving_finds_the_best_point(planted):
     assert rounds[1] < rounds[0] and halved.count() == 8
 
 
-@pytest.mark.parametrize("fit", [models.fit_gbt, models.fit_leafwise_gbt])
-def test_stored_trees_score_the_same(spark, planted, fit):
+@pytest.mark.parametrize("fit,options", [(models.fit_gbt, {"rounds": 2}), (models.fit_leafwise_gbt, {"rounds": 2}),
+                                         (models.fit_mlp, {"epochs": 1, "layers": (5, 3)})])
+def test_stored_arrays_score_the_same(spark, planted, fit, options):
     scaler = scaling.fit_scaler(planted, FEATURES)
-    model = fit(planted, FEATURES, scaler=scaler, rounds=2)
+    model = fit(planted, FEATURES, scaler=scaler, **options)
     path = fresh_folder(spark, "model")
     models.save_model(spark, model, path, {"model_name": "GBT"})
     again = models.load_model(spark, path)
     a, b = (predict(planted, m).select("flow_id", "attack_probability") for m in (model, again))
     assert a.exceptAll(b).isEmpty() and again.meta["model_type"] == model.meta["model_type"]
-    assert "boosted" not in again.meta and again.features == FEATURES
+    assert "stored_as" not in again.meta and again.features == FEATURES
 
 
 def test_synthetic_rows_are_named_by_base_and_copy(planted):
