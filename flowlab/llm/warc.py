@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,8 +38,8 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page: object, segment: int = 1) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}#{segment}')}>"
+def record_id(row: object, segment: int = 1) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'row:{row}#{segment}')}>"
 
 
 def pieces(data: bytes, size: int) -> Iterator[bytes]:
@@ -76,26 +77,28 @@ def _record(headers: dict[str, str], block: bytes) -> str:
     return "\r\n".join(lines) + block.decode()
 
 
-def page_records(page: int | None, url: str, payload: bytes, refers_to: int | None) -> Iterator[str]:
-    """Records of one page, without the blank lines after each."""
+def page_records(row: object, page: int | None, url: str, payload: bytes, refers_to: int | None,
+                 refers_to_url: str | None = None) -> Iterator[str]:
+    """Records of one page, without the blank lines after each. ``row`` tells it from all other rows, also from those
+    of the same page."""
     digest = base32_sha1(payload)
     common = {"WARC-Date": DATE, "WARC-Target-URI": url, "X-Page-Id": "" if page is None else str(page),
               "WARC-Payload-Digest": f"sha1:{digest}", "Content-Type": "application/http; msgtype=response"}
     if refers_to is not None:
         block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
-        yield _record({"WARC-Type": "revisit", "WARC-Record-ID": record_id(page), **common,
-                       "WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers_to),
-                       "X-Refers-To-Page": str(refers_to)}, block.encode())
+        yield _record({"WARC-Type": "revisit", "WARC-Record-ID": record_id(row), **common,
+                       "WARC-Profile": PROFILE, "WARC-Refers-To-Target-URI": refers_to_url or url,
+                       "WARC-Refers-To-Date": DATE, "X-Refers-To-Page": str(refers_to)}, block.encode())
         return
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     block = head + chunked(payload)
     parts = list(pieces(block, SEGMENT_BYTES))
     many = {"WARC-Segment-Number": "1"} if len(parts) > 1 else {}
-    yield _record({"WARC-Type": "response", "WARC-Record-ID": record_id(page), **common, **many}, parts[0])
+    yield _record({"WARC-Type": "response", "WARC-Record-ID": record_id(row), **common, **many}, parts[0])
     for n, part in enumerate(parts[1:], 2):
         last = {"WARC-Segment-Total-Length": str(len(block))} if n == len(parts) else {}
-        yield _record({"WARC-Type": "continuation", "WARC-Record-ID": record_id(page, n), "WARC-Date": DATE,
-                       "WARC-Target-URI": url, "WARC-Segment-Origin-ID": record_id(page),
+        yield _record({"WARC-Type": "continuation", "WARC-Record-ID": record_id(row, n), "WARC-Date": DATE,
+                       "WARC-Target-URI": url, "WARC-Segment-Origin-ID": record_id(row),
                        "WARC-Segment-Number": str(n), **last}, part)
 
 
@@ -106,30 +109,51 @@ def write_pages(pages: DataFrame, path: str, least_bytes: int = 0, key: str = "p
     Of pages with equal payloads of ``least_bytes`` or more, the one with the largest key is the response and the
     others revisit it; smaller payloads are all responses. A null payload is empty, a null url is
     ``about:blank``. Null keys and rows that repeat a key stay responses unless another key is larger. An empty
-    table writes no record. Other columns are not read.
+    table writes no record. Other columns are not read. Record ids are made of the page, its digest and the row's place
+    in its partition, so no two rows share one.
     """
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(key).cast("bigint").alias("page"), F.coalesce(F.col(url), F.lit("about:blank")).alias("url"),
                         body.alias("html"), F.sha1(body.cast("binary")).alias("digest"))
     large = F.octet_length("html") >= least_bytes
-    shared = stored(rows.filter(large).groupBy("digest").agg(F.max("page").alias("latest"), F.count("*").alias("n"))
-                    .filter("n > 1 and latest is not null").select("digest", "latest"), "payloads")
+    shared = stored(rows.filter(large).groupBy("digest").agg(F.max(F.struct("page", "url")).alias("_last"), F.count("*").alias("n"))
+                    .select("digest", F.col("_last.page").alias("latest"), F.col("_last.url").alias("latest_url"), "n")
+                    .filter("n > 1 and latest is not null").drop("n"), "payloads")
     near = F.broadcast(shared) if shared.count() <= BROADCAST_DIGESTS else shared
     revisit = F.when(large & F.col("page").isNotNull() & (F.col("page") < F.col("latest")), F.col("latest"))
-    roles = rows.join(near, "digest", "left").select("page", "url", "html", revisit.alias("refers_to"))
+    roles = rows.join(near, "digest", "left").select("page", "url", "html", "digest", revisit.alias("refers_to"), "latest_url")
+
+    def one_line(address: str | None) -> str | None:
+        return address and address.replace("\r", "%0D").replace("\n", "%0A")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             out = []
-            for page, address, text, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                line = address.replace("\r", "%0D").replace("\n", "%0A")
-                out.extend(page_records(page, line, text.encode(), refers_to))
+            for page, address, text, digest, refers_to, target in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = f"{page}/{digest}/{part}/{place}"
+                out.extend(page_records(row, page, one_line(address), text.encode(), refers_to, one_line(target)))
+                place += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
     (roles.mapInArrow(records, "value string").write.option("lineSep", "\r\n\r\n")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path))
 
 
+def unpacked(data: bytes) -> bytes:
+    """All members of a gzip file; other data as they are."""
+    out = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data))
+        if not member.eof:
+            raise ValueError("an archive ends inside a gzip member")
+        data = member.unused_data
+    return b"".join([*out, data])
+
+
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of an archive."""
     at = 0
@@ -152,9 +176,9 @@ RECORD = ("record_id string, origin string, segment int, total bigint, type stri
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives below ``path``, continuations among them."""
-    import zlib
-
+    """One row per record of the archives below ``path``, continuations and records of any type among them. Files may be
+    plain or gzip, of one member or of a member per record; files whose names start with a point or underscore are
+    no archives."""
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record_id", pa.string()), ("origin", pa.string()), ("segment", pa.int32()),
                             ("total", pa.int64()), ("type", pa.string()), ("url", pa.string()), ("page", pa.string()),
@@ -162,16 +186,16 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for packed in batch.column(0):
                 data = packed.as_py()
-                rows = [{"record_id": h["warc-record-id"], "origin": h.get("warc-segment-origin-id"),
+                rows = [{"record_id": h.get("warc-record-id"), "origin": h.get("warc-segment-origin-id"),
                          "segment": int(h["warc-segment-number"]) if "warc-segment-number" in h else None,
                          "total": int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None,
                          "type": h["warc-type"], "url": h.get("warc-target-uri"), "page": h.get("x-page-id"),
                          "digest": h.get("warc-payload-digest"), "refers_to": h.get("x-refers-to-page"), "block": block}
-                        for h, block in parse_records(zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data)]
+                        for h, block in parse_records(unpacked(data))]
                 for start in range(0, len(rows), 1000):
                     yield pa.RecordBatch.from_pylist(rows[start:start + 1000], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(parse, RECORD)
 
 
@@ -179,7 +203,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per page of the archives: page_id, url, payload_bytes, payload_digest, record_type, refers_to,
     payload (null for a revisit).
 
-    Missing or repeated segments, lengths that do not add up and payloads that do not fit their digest are errors.
+    Responses in chunked framing or with a plain body are payloads, checked against their digest if it has one (SHA-1 in
+    base32); other types than response and revisit (and their segments) are passed over. Missing or repeated segments,
+    lengths that do not add up and payloads that do not fit their digest are errors.
     Only cut records are shuffled, by their origin, so each group is one page.
     """
     records = stored(read_records(spark, path), "records")
@@ -194,26 +220,28 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
              .withColumn("block", _checked((numbers == F.sequence(F.lit(1), F.size("_parts")))
                                            & (F.octet_length("block") == F.col("total")), F.col("block"))))
     columns = ["type", "url", "page", "digest", "refers_to", "block"]
-    pages = records.filter("segment is null").select(*columns).unionByName(whole.select(*columns))
+    pages = records.filter("segment is null").select(*columns).unionByName(whole.select(*columns)).filter(
+        F.col("type").isin("response", "revisit"))
 
     @F.arrow_udf("struct<n:bigint,payload:binary>")
-    def payload(blocks: pa.Array, digests: pa.Array) -> pa.Array:
+    def payload(blocks: pa.Array, digests: pa.Array, types: pa.Array) -> pa.Array:
         sizes, payloads = [], []
-        for value, digest in zip(blocks, digests, strict=True):
+        for value, digest, kind in zip(blocks, digests.to_pylist(), types.to_pylist(), strict=True):
             head, _, body = value.as_py().partition(b"\r\n\r\n")
-            fields = dict(line.lower().split(b": ", 1) for line in head.split(b"\r\n")[1:])
-            if fields.get(b"transfer-encoding") == b"chunked":
-                data = dechunked(body)
-                if f"sha1:{base32_sha1(data)}" != digest.as_py():
-                    raise ValueError("a payload does not fit its digest")
-                sizes.append(len(data))
-                payloads.append(data)
-            else:  # a revisit: the headers of the message without its body
-                sizes.append(int(fields[b"content-length"]))
+            fields = dict(line.lower().split(b":", 1) for line in head.split(b"\r\n")[1:] if b":" in line)
+            if kind == "revisit":  # the headers of the message without its body
+                length = fields.get(b"content-length")
+                sizes.append(None if length is None else int(length))
                 payloads.append(None)
+                continue
+            data = dechunked(body) if fields.get(b"transfer-encoding", b"").strip() == b"chunked" else body
+            if (digest or "").startswith("sha1:") and digest != f"sha1:{base32_sha1(data)}":
+                raise ValueError("a payload does not fit its digest")
+            sizes.append(len(data))
+            payloads.append(data)
         return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(payloads, pa.binary())], ["n", "payload"])
 
-    return (pages.withColumn("_p", payload("block", "digest"))
+    return (pages.withColumn("_p", payload("block", "digest", "type"))
             .select(F.when(F.col("page") != "", F.col("page")).cast("bigint").alias("page_id"), "url",
                     F.col("_p.n").alias("payload_bytes"), F.substring_index("digest", ":", -1).alias("payload_digest"),
                     F.col("type").alias("record_type"), F.col("refers_to").cast("bigint").alias("refers_to"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections import defaultdict
 
@@ -67,7 +68,7 @@ def test_empty_archive(spark):
 
 def test_broken_archives_are_refused(spark):
     pages = [(7, "u", "z" * 100_000)]
-    records = list(warc.page_records(7, "u", b"z" * 100_000, None))
+    records = list(warc.page_records("row", 7, "u", b"z" * 100_000, None))
     assert len(records) > 2
 
     def read(some):
@@ -82,6 +83,38 @@ def test_broken_archives_are_refused(spark):
             read(broken)
 
 
+@pytest.mark.parametrize("pages", [
+    [(1, "u", "x" * 40_000), (1, "u", "x" * 40_000)], [(None, "u", "x" * 40_000), (None, "u", "y" * 40_000)],
+    [(1, "u", "x" * 40_000), (1, "u", "y" * 40_000), (2, None, "x" * 40_000), (2, "v", "x" * 40_000)]])
+def test_long_pages_that_share_an_id(spark, pages):
+    rows = warc.archive_and_read(spark.createDataFrame([(*p, "x") for p in pages], PAGES)).collect()
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows]
+    assert sorted(got, key=key) == sorted(expected([(p, h) for p, _, h in pages]), key=key)
+
+
+def test_foreign_archives(spark, tmp_path):
+    """A gzip member per record, other types among them, plain bodies with and without a digest, a revisit without length."""
+    def record(kind, block, **more):
+        lines = ["WARC/1.1", f"WARC-Type: {kind}", *(f"{k.replace('_', '-')}: {v}" for k, v in more.items()), f"Content-Length: {len(block)}", "", ""]
+        return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
+
+    body = b"plain \xff body"
+    good = {"WARC_Payload_Digest": f"sha1:{warc.base32_sha1(body)}", "WARC_Target_URI": "http://a"}
+    http = b"HTTP/1.1 200 OK\r\nContent-Type:text/html\r\n\r\n"
+    members = [record("warcinfo", b"software: x"), record("response", http + body, **good), record("request", b"GET / HTTP/1.1\r\n\r\n"),
+               record("response", http + b"no digest"), record("revisit", http, **good)]
+    (tmp_path / "crawl.warc.gz").write_bytes(b"".join(map(gzip.compress, members)))
+    (tmp_path / "plain.warc").write_bytes(b"".join(members))
+    rows = warc.read_pages(spark, str(tmp_path)).collect()
+    assert sorted((r.record_type, bytes(r.payload or b""), r.payload_bytes) for r in rows) == sorted(
+        2 * [("response", body, len(body)), ("response", b"no digest", 9), ("revisit", b"", None)], key=lambda x: x[:2])
+    (tmp_path / "plain.warc").write_bytes(record("response", http + b"other", **good))
+    with pytest.raises(Exception, match="does not fit its digest"):
+        warc.read_pages(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="inside a gzip member"):
+        warc.unpacked(gzip.compress(b"x" * 100)[:-9])
+
+
 def test_dechunk():
     assert warc.dechunked(b"3\r\nabc\r\n2;x=y\r\nde\r\n0\r\n\r\n") == b"abcde"
     assert warc.dechunked(warc.chunked("é".encode() * 9000)) == "é".encode() * 9000
