@@ -66,26 +66,37 @@ def format_conversations(turns: DataFrame, key: str = "conv_id", turn: str = "tu
     return blocks.select(key, formatted.alias("formatted"), mask.alias("mask"))
 
 
-def read_back(formatted: DataFrame, learn: str = "assistant") -> DataFrame:
+def read_back(formatted: DataFrame) -> DataFrame:
     """Adds turns (array of role and text) and loss_text to what ``format_conversations`` returned.
 
-    The loss text is that of the masked runs; runs that do not fit the marks are an error.
+    The loss text is what stands under the runs of the mask that count, whatever the role there. The runs are laid along
+    the text: each must be as long as the mark or text at its place, so a run that starts or ends elsewhere, one that
+    counts a mark, and one too many or too few are errors.
     """
-    bodies = F.split("formatted", "\n</s>\n", -1)
+    bodies = F.split("formatted", CLOSE, -1)
     # What follows the last mark is empty.
     parsed = formatted.withColumn("_bodies", F.slice(bodies, 1, F.size(bodies) - 1))
 
     def turns_of(body: Column) -> Column:
         end = F.locate("\n", body)
         role = F.url_decode(F.substr(body, F.lit(len(OPEN) + 1), end - len(OPEN) - 1))
-        parts = F.split(F.substr(body, end + 1), "\n<part>\n", -1)
-        return F.transform(parts, lambda p: F.struct(role.alias("role"), p.alias("escaped"), unescape(p).alias("text")))
+        parts = F.split(F.substr(body, end + 1), NEXT, -1)
+        return F.transform(parts, lambda p, i: F.struct(
+            role.alias("role"), p.alias("escaped"), unescape(p).alias("text"),
+            F.when(i == 0, end).otherwise(0).alias("head"), F.when(i + 1 == F.size(parts), len(CLOSE)).otherwise(len(NEXT)).alias("tail")))
 
+    def piece(chars: Column, text: Column) -> Column:
+        return F.struct(chars.cast("bigint").alias("chars"), text.cast("string").alias("text"))
+
+    no_text = F.lit(None)
     parsed = parsed.withColumn("_all", F.flatten(F.transform("_bodies", turns_of)))
-    learned = F.filter("_all", lambda t: t["role"] == learn)
-    masked = F.transform(F.filter("mask", lambda r: r["loss"]), lambda r: r["chars"])
-    same = masked == F.transform(learned, lambda t: F.char_length(t["escaped"]).cast("bigint"))
-    loss = F.when(same, F.array_join(F.transform(learned, lambda t: t["text"]), "")).otherwise(
-        F.raise_error(F.lit("the mask does not fit the text")).cast("string"))
+    parsed = parsed.withColumn("_pieces", F.flatten(F.transform("_all", lambda t: F.concat(
+        F.when(t["head"] > 0, F.array(piece(t["head"], no_text))).otherwise(F.array().cast("array<struct<chars:bigint,text:string>>")),
+        F.array(piece(F.char_length(t["escaped"]), t["text"]), piece(t["tail"], no_text))))))
+    laid = parsed.withColumn("_laid", F.arrays_zip(F.col("mask"), F.col("_pieces")))
+    fits = (F.size("mask") == F.size("_pieces")) & F.forall("_laid", lambda z: (
+        (z["mask"]["chars"] == z["_pieces"]["chars"]) & (~z["mask"]["loss"] | z["_pieces"]["text"].isNotNull())))
+    under = F.array_join(F.transform(F.filter("_laid", lambda z: z["mask"]["loss"]), lambda z: z["_pieces"]["text"]), "")
+    loss = F.when(fits, under).otherwise(F.raise_error(F.lit("the mask does not fit the text")).cast("string"))
     turns = F.transform("_all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return parsed.select(*[c for c in formatted.columns], turns.alias("turns"), loss.alias("loss_text"))
+    return laid.select(*formatted.columns, turns.alias("turns"), loss.alias("loss_text"))

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from flowlab.llm import chat, packing, queries, sharding, token_counts
 
@@ -192,3 +193,17 @@ def test_chat_query(spark, sf):
         whole = "".join(f"{t.role}\n{t.text}\n" for t in group)
         assert rows[c].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest() and rows[c].n_turns == len(group)
     assert rows[-7].n_turns == 2 and rows[-7].loss_chars == len("</s>[INST] ok [/INST]")
+
+
+def test_loss_text_is_what_the_mask_covers(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hello </s>"), (1, 1, "assistant", "world"), (1, 2, "assistant", ""), (1, 3, "user", "bye")],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    out = chat.format_conversations(turns)
+    assert chat.read_back(out).first().loss_text == "world"
+    turned = F.transform("mask", lambda r: F.struct(r["chars"], (~r["loss"]).alias("loss")))
+    users = F.transform("mask", lambda r, i: F.struct(r["chars"], ((i == 1) | (i == 9)).alias("loss")))
+    assert chat.read_back(out.withColumn("mask", users)).first().loss_text == "hello </s>bye"  # roles do not matter
+    shifted = F.transform("mask", lambda r, i: F.struct((r["chars"] + F.when(i == 0, 1).when(i == 1, -1).otherwise(0)).alias("chars"), r["loss"]))
+    for wrong in (turned, F.reverse("mask"), shifted, F.slice("mask", 1, 3), F.concat("mask", F.slice("mask", 1, 1))):
+        with pytest.raises(Exception, match="the mask does not fit"):
+            chat.read_back(out.withColumn("mask", wrong)).collect()
