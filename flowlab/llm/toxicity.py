@@ -25,9 +25,9 @@ BUCKET_BITS = 17
 ORDERS = (3, 4, 5)
 DIMENSIONS = 8
 STRETCH = 32  # characters averaged at a time
-# Bounds of the fit: expected rows of either label; longer texts are not drawn.
+# Bounds of the fit: expected rows of either label, and of a longer text so many windows of so many characters.
 SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 20_000
+WINDOW_CHARS, WINDOWS = 20_000, 4
 ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 64, 0.5
 LEAST_STEPS = 150  # a small sample is gone through more often
 SEED = 7
@@ -203,50 +203,64 @@ def _logistic_curve(x: np.ndarray, y: np.ndarray, positives: float, negatives: f
     return float(w[0] / scale), float(w[1])
 
 
+def excerpt(text: Column) -> Column:
+    """A text of up to WINDOWS * WINDOW_CHARS characters as a whole, of a longer one windows spread evenly over it."""
+    n = F.char_length(text)
+    starts = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.floor((n - WINDOW_CHARS) * i / (WINDOWS - 1)).cast("int") + 1)
+    windows = F.array_join(F.transform(starts, lambda at: F.substr(text, at, F.lit(WINDOW_CHARS))), "\n")
+    return F.when(n <= WINDOWS * WINDOW_CHARS, text).otherwise(windows)
+
+
+def _uniform(*of) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*of), 11) / float(1 << 53)
+
+
+def _fit_sample(sample: DataFrame, counts: dict[int, int]) -> ToxicityModel:
+    """Equal texts are taken once; the order does not depend on partitions. Without rows the score is 0."""
+    rows = sample.select(excerpt(F.col("text")).alias("text"), "y").distinct().orderBy(F.xxhash64("text"), "text", "y").collect()
+    if not rows:
+        return ToxicityModel(np.zeros((1 << BUCKET_BITS) + 1, np.float32), 0.0, 0.0, -40.0, 0.0)
+    return fit_texts([r.text for r in rows], [r.y for r in rows], max(1, counts.get(1, 0)), max(1, counts.get(0, 0)))
+
+
+def _share(counts: dict[int, int]) -> Column:
+    """Share of the rows of a label that is drawn."""
+    return F.when(F.col("y") == 1, SAMPLE_ROWS / max(1, counts.get(1, 0))).otherwise(2 * SAMPLE_ROWS / max(1, counts.get(0, 0)))
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Model from the labelled rows given (text, 0/1). Rows with a null are left out.
+    """Model from the labelled rows given (text, 0/1). Rows with a null or another label are left out.
 
-    Of either label those rows are taken whose hash falls below ``SAMPLE_ROWS`` over their number, among texts of
-    up to ``SAMPLE_CHARS`` characters: a bounded sample, spread over all rows. Without rows the score is 0.
+    Of either label those rows are taken whose hash falls below ``SAMPLE_ROWS`` over their number, whatever their
+    length: a bounded sample, spread over all rows. Rows that repeat a text draw alike and are taken once, but count
+    each. An empty table gives a model whose score is 0. Other columns are not read.
     """
     rows = (labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("y"))
             .filter("text is not null and y in (0, 1)"))
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    draw = F.shiftrightunsigned(F.xxhash64("text", F.lit("sample")), 11) / float(1 << 53)
-    share = F.when(F.col("y") == 1, SAMPLE_ROWS / max(1, counts.get(1, 0))).otherwise(
-        2 * SAMPLE_ROWS / max(1, counts.get(0, 0)))
-    short = rows.filter(F.char_length("text") <= SAMPLE_CHARS)
-    # Equal texts draw alike, so each is taken once; the order does not depend on partitions.
-    sample = short.filter(draw < share).distinct().orderBy(F.xxhash64("text"), "text", "y").collect()
-    if not sample:
-        return ToxicityModel(np.zeros((1 << BUCKET_BITS) + 1, np.float32), 0.0, 0.0, -40.0, 0.0)
-    return fit_texts([r.text for r in sample], [r.y for r in sample],
-                     max(1, counts.get(1, 0)), max(1, counts.get(0, 0)))
+    return _fit_sample(rows.filter(_uniform("text", F.lit("sample")) < _share(counts)), counts)
 
 
 def fit_by_key(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                label: str = "toxic") -> ToxicityModel:
     """Like ``fit``, for labels in a table of their own: keys are drawn first, by their hash, and texts are read
-    for the drawn keys alone, so no text is shuffled. Null keys have no label."""
-    keys = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key")).join(
-        labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")), "_key").filter("y in (0, 1)")
-    counts = {r.y: r.n for r in keys.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    draw = F.shiftrightunsigned(F.xxhash64("_key", F.lit("sample")), 11) / float(1 << 53)
-    share = F.when(F.col("y") == 1, SAMPLE_ROWS / max(1, counts.get(1, 0))).otherwise(
-        2 * SAMPLE_ROWS / max(1, counts.get(0, 0)))
-    drawn = F.broadcast(keys.filter(draw < share).distinct())  # about 3 * SAMPLE_ROWS keys
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(drawn, "_key")
-    sample = (rows.filter(F.char_length("text") <= SAMPLE_CHARS).select("text", "y").distinct()
-              .orderBy(F.xxhash64("text"), "text", "y").collect())
-    if not sample:
-        return ToxicityModel(np.zeros((1 << BUCKET_BITS) + 1, np.float32), 0.0, 0.0, -40.0, 0.0)
-    return fit_texts([r.text for r in sample], [r.y for r in sample],
-                     max(1, counts.get(1, 0)), max(1, counts.get(0, 0)))
+    for the drawn keys alone, so no text is shuffled. A key of many rows is likelier drawn, and then gives a share of its
+    rows. Null keys have no label; a key with both labels has label 1, and repeated label rows count once."""
+    by_key = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)").groupBy("_key").agg(F.max("y").alias("y"))
+    sizes = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key")).groupBy("_key").agg(F.count("*").alias("_n"))
+    keys = sizes.join(by_key, "_key")
+    counts = {r.y: r.n for r in keys.groupBy("y").agg(F.sum("_n").alias("n")).collect()}
+    likely = F.least(F.lit(1.0), _share(counts) * F.col("_n"))
+    drawn = keys.withColumn("_likely", likely).filter(_uniform("_key", F.lit("sample")) < F.col("_likely"))
+    drawn = F.broadcast(drawn.select("_key", "y", (_share(counts) / F.col("_likely")).alias("_rows")))  # about 3 * SAMPLE_ROWS keys
+    rows = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("text")).join(drawn, "_key")
+    # A key of one row gives it for sure.
+    return _fit_sample(rows.filter((F.col("_rows") >= 1) | (_uniform("text", F.lit("row")) < F.col("_rows"))), counts)
 
 
 def score(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
     """Probability that a text is toxic. Null and empty texts, and texts without a letter or digit, get the
-    share of toxic rows among those learned from."""
+    share of toxic rows among those learned from. Equal texts score alike; an empty table gives no score."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -69,3 +69,53 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     nothing = toxicity.fit(no_docs.selectExpr("text", "1 AS toxic"))
     assert nothing.score("anything") < 0.3 and nothing.score("") == 0.0
     assert no_docs.select(toxicity.score(spark, model, no_docs["text"])).collect() == []
+
+
+LABELLED = "doc_id bigint, text string, toxic int"
+
+
+def planted_texts(n: int, length: int) -> list[tuple]:
+    """Every third text holds insults; words are drawn anew for each."""
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}" for a in ("lo", "mi", "tar", "ven", "sol") for b in ("ra", "den", "ku", "st", "pel")]
+    rows = []
+    for i in range(n):
+        text = [words[j] for j in rng.integers(0, len(words), length // 5)]
+        if i % 3 == 0:
+            for at in rng.integers(0, len(text), length // 250):
+                text[int(at)] = "stupididiot moron"
+        rows.append((i, " ".join(text), int(i % 3 == 0)))
+    return rows
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    rows = planted_texts(90, 30_000)
+    docs = spark.createDataFrame(rows, LABELLED)
+    for model in (toxicity.fit(docs), toxicity.fit_by_key(docs.drop("toxic"), docs.select("doc_id", "toxic"))):
+        assert abs(model.prior - 1 / 3) < 1e-9
+        right = [(model.score(t) >= 0.3) == bool(y) for _, t, y in planted_texts(120, 30_000)[90:]]
+        assert np.mean(right) > 0.9
+
+
+def test_excerpts(spark):
+    step, most = toxicity.WINDOW_CHARS, toxicity.WINDOW_CHARS * toxicity.WINDOWS
+    texts = ["", "short", "x" * most, "a" * step + "b" * most + "c" * step]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in frame.select(toxicity.excerpt(frame.text)).collect()]
+    assert got[:3] == texts[:3]
+    assert got[3].startswith("a" * step + "\n") and got[3].endswith("\n" + "c" * step) and len(got[3]) == most + toxicity.WINDOWS - 1
+
+
+def test_labels_of_repeated_keys(spark, monkeypatch):
+    """A hot id does not multiply, gives a share of its rows only, and a key with both labels is toxic."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 30)
+    taken = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda texts, labels, p, n: taken.append((texts, labels, p, n)))
+    rows = [(7, f"hot text {i}") for i in range(3000)] + [(i, f"text {i}") for i in range(100, 400)] + [(5, "both"), (None, "no key"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(7, 0)] * 50 + [(i, 1) for i in range(100, 400)] + [(5, 0), (5, 1), (6, 1), (None, 1), (8, None)], "doc_id bigint, toxic int")
+    toxicity.fit_by_key(docs, labels)
+    texts, known, positives, negatives = taken[0]
+    assert (positives, negatives) == (301, 3000)
+    assert 10 < sum(known) < 60 and 25 < known.count(0) < 130
+    assert not {"no key"} & set(texts) and toxicity.fit_by_key(docs.limit(0), labels).score("x") < 1e-9
