@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import stored
+from flowlab.llm.common import free_names, stored
 from flowlab.llm.shingles import digest, mix, shingle_set
 
 # A pair at similarity 0.85 shares no bucket with probability (1 - 0.85**4)**32 = 6e-11; at 0.8, 5e-8.
@@ -254,27 +254,28 @@ def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str
     smallest key the one with the smallest hash, once. A null key never stands for a group that has another key.
 
     Texts in no group stay, once for each key, also where they share their key with other texts. Only texts without
-    words leave where a text with words stays under their key.
+    words leave where a text with words stays under their key. An empty table gives no row; further columns stay,
+    whatever their names.
     """
+    kept_key, kept_hash, kept_rows = free_names(docs, "_kept_key", "_kept_hash", "_kept_rows")
     named = near_duplicates(docs, percent, key, text, with_hash=True).select(
-        F.col(key).alias("_kept_key"), F.col("text_hash").alias("_kept_hash"), F.col("root").alias("_root"), "kept")
+        F.col(key).alias(kept_key), F.col("text_hash").alias(kept_hash), F.col("root").alias("_root"), "kept")
     named = stored(named, "named")
     grouped = named.filter("_root is not null")
     # Kept rows of a group have one key, its smallest.
-    texts = grouped.filter("kept").groupBy("_root", "_kept_key", "_kept_hash").agg(F.count("*").alias("_kept_rows"))
-    one = texts.groupBy("_root").agg(F.min(F.struct("_kept_hash", "_kept_key", "_kept_rows")).alias("_one")).select("_one.*")
-    wordless = (named.filter("_root is null").groupBy("_kept_key", "_kept_hash").agg(F.count("*").alias("_kept_rows"))
-                .join(one.select("_kept_key").distinct(), "_kept_key", "left_anti"))
+    texts = grouped.filter("kept").groupBy("_root", kept_key, kept_hash).agg(F.count("*").alias(kept_rows))
+    one = texts.groupBy("_root").agg(F.min(F.struct(kept_hash, kept_key, kept_rows)).alias("_one")).select("_one.*")
+    wordless = (named.filter("_root is null").groupBy(kept_key, kept_hash).agg(F.count("*").alias(kept_rows))
+                .join(one.select(kept_key).distinct(), kept_key, "left_anti"))
     kept = stored(one.unionByName(wordless), "kept")
 
     def rows_of(keys: DataFrame) -> DataFrame:
         near = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-        return docs.join(near, F.col(key).eqNullSafe(F.col("_kept_key"))
-                         & (F.xxhash64(docs[text]) == F.col("_kept_hash")))
+        return docs.join(near, F.col(key).eqNullSafe(F.col(kept_key)) & (F.xxhash64(docs[text]) == F.col(kept_hash)))
 
-    out = rows_of(kept.filter("_kept_rows = 1")).select(docs["*"])
-    several = kept.filter("_kept_rows > 1")
+    out = rows_of(kept.filter(F.col(kept_rows) == 1)).select(docs["*"])
+    several = kept.filter(F.col(kept_rows) > 1)
     if several.isEmpty():
         return out
-    repeated = rows_of(several).dropDuplicates(["_kept_key", "_kept_hash"])
+    repeated = rows_of(several).dropDuplicates([kept_key, kept_hash])
     return out.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -298,3 +298,15 @@ def test_fingerprints_of_odd_rows(odd_docs, no_docs, spark):
     assert order_minhash.fingerprints_with_next(no_docs).collect() == []
     one = order_minhash.fingerprints_with_next(odd_docs.filter("doc_id = 7")).first()
     assert one.next_text == one.text
+
+
+def test_kept_documents_with_clashing_columns(spark):
+    """Columns of any name stay, also those the operator would have chosen."""
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words), (2, words), (3, words + " more"), (4, "other text altogether than those above"), (4, "other text altogether than those above")]
+    docs = spark.createDataFrame([(*r, "k", "h", "r", "t") for r in rows],
+                                 "doc_id bigint, text string, _kept_key string, `_KEPT_hash` string, _kept_rows string, _root string")
+    out = near_dedup.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r._kept_key, r._kept_rows) for r in out.collect()) == [(1, "k", "r"), (4, "k", "r")]
+    assert near_dedup.keep_one(docs.limit(0)).collect() == []
