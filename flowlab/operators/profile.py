@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from flowlab.functions import finite, is_missing, present
 from flowlab.operators.running import fit_cuts, order_value, running_sums
 
 COLUMNS_PER_JOB = 100
-PAIRS_PER_JOB = 300
+BLOCK_FAN_IN = 32
 
 
 def long_aggregate(
@@ -64,16 +66,69 @@ def imbalance_ratio(df: DataFrame, label: str = "Label") -> DataFrame:
                       (F.max("n") / F.min("n")).alias("imbalance_ratio"))
 
 
+def comoments(x: np.ndarray) -> np.ndarray:
+    """Per pair of columns, over rows where both are there: rows, the first column's mean and its squares around that, and
+    the products around both means. NaN is missing. The second column's are the transposes of the first's."""
+    there = ~np.isnan(x)
+    m = there.astype(float)
+    with np.errstate(invalid="ignore"):
+        middle = np.where(m.sum(axis=0) > 0, np.where(there, x, 0.0).sum(axis=0) / np.maximum(m.sum(axis=0), 1), 0.0)
+    x = np.where(there, x - middle, 0.0)  # near their means, so that little is lost below
+    n, s, q, p = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+    mean = s / np.maximum(n, 1)
+    return np.stack([n, mean + middle[:, None], q - mean * s, p - mean * s.T])
+
+
+def merged_comoments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of two sets of rows together."""
+    n = a[0] + b[0]
+    share = a[0] * b[0] / np.maximum(n, 1)
+    off = b[1] - a[1]
+    mean = np.where(n > 0, (a[0] * a[1] + b[0] * b[1]) / np.maximum(n, 1), 0.0)
+    return np.stack([n, mean, a[2] + b[2] + off * off * share, a[3] + b[3] + off * off.T * share])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each pair of columns, over rows where both are present."""
-    data = df.select(*[present(df, c).cast("double").alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    parts = []
-    for i in range(0, len(pairs), PAIRS_PER_JOB):
-        cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr"))
-                 for a, b in pairs[i:i + PAIRS_PER_JOB]]
-        parts.append(data.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
-    return reduce(DataFrame.unionByName, parts)
+    """Pearson correlation of each pair of columns, over rows where both are present; null for fewer than two such rows
+    and where a column does not vary.
+
+    One scan: tasks sum mergeable blocks of counts, means and products over Arrow batches, which meet in a tree.
+    """
+    k, schema = len(cols), "at bigint, v binary"
+    data = df.select(F.array(*[F.coalesce(present(df, c).cast("double"), F.lit(float("nan"))) for c in cols]).alias("x"))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            if len(batch):
+                total = merged_comoments(total, comoments(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()])], ["at", "v"])
+
+    def met(group: pa.Table) -> pa.Table:
+        group = group.sort_by("at")  # in one order, whoever came first
+        total = reduce(merged_comoments, (
+            np.frombuffer(v).reshape(4, k, k) for v in group.column("v").to_pylist() if v), np.zeros((4, k, k)))
+        return pa.table([[max(group.column("at")[0].as_py(), 0) // BLOCK_FAN_IN], pa.array([total.tobytes()])], ["at", "v"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for v in batch.column("v").to_pylist():
+                n, _, q, p = np.frombuffer(v).reshape(4, k, k)
+                i, j = np.triu_indices(k, 1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    corr = np.clip(p[i, j] / np.sqrt(q[i, j] * q.T[i, j]), -1, 1)
+                known = (n[i, j] > 1) & np.isfinite(corr)
+                yield pa.RecordBatch.from_arrays([pa.array([cols[a] for a in i], pa.string()), pa.array([cols[b] for b in j], pa.string()),
+                                                  pa.array(corr, pa.float64(), mask=~known)], ["column_a", "column_b", "corr"])
+
+    nothing = df.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("at"), F.lit(b"").alias("v"))
+    parts, left = data.mapInArrow(blocks, schema).unionByName(nothing), df.rdd.getNumPartitions() + 2
+    while left > 1:
+        parts = parts.groupBy(F.floor(F.greatest("at", F.lit(0)) / BLOCK_FAN_IN)).applyInArrow(met, schema)
+        left = -(-left // BLOCK_FAN_IN)
+    return parts.mapInArrow(pairs, "column_a string, column_b string, corr double")
 
 
 def histogram(

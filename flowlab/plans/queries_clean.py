@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.operators import balance, cleaning, joins, scaling, splitting
 from flowlab.operators.features import binary_target
 from flowlab.plans.catalog import query
 from flowlab.plans.flows import flows, table, with_flows, with_labeled
+from flowlab.session import fresh_folder
+from flowlab.sources import write_bucketed
 
 TRAIN_END, VAL_END = "2024-01-19", "2024-01-25"
 NUMERIC = ["flow_duration", "tot_fwd_pkts", "tot_bwd_pkts", "totlen_fwd_pkts", "totlen_bwd_pkts",
@@ -293,6 +296,14 @@ def sample_weight(spark, sf_dir):
     return balance.with_sample_weight(df).withColumn("weight", F.round("weight", 9))
 
 
+BUCKETS = 16
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    path = fresh_folder(df.sparkSession, name)
+    return write_bucketed(df, path, path.rsplit("/", 1)[-1].replace("-", "_"), key, BUCKETS)
+
+
 @query("j1_join_labels", """
 SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def join_labels(spark, sf_dir):
@@ -300,6 +311,14 @@ def join_labels(spark, sf_dir):
     return joins.join_labels(docs, table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query("j1_join_labels_bucketed", """
+SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def join_labels_bucketed(spark, sf_dir):
+    """Both tables written in buckets of the key first; the join itself shuffles nothing."""
+    docs = bucketed(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "docs", "doc_id")
+    return joins.join_labels(docs, bucketed(table(spark, sf_dir, "labels"), "labels", "doc_id"), "doc_id")
+
+
 @query("j2_attach_class_value", """
 WITH w AS (SELECT toxic AS t, (SELECT count(*) FROM labels) * 1e0 / (2 * count(*)) AS weight FROM labels GROUP BY 1)
 SELECT doc_id, toxic, round(weight, 9) AS weight FROM labels JOIN w ON toxic = t""")
@@ -318,3 +337,14 @@ def join_truth(spark, sf_dir):
     pred = df.select("flow_id", F.when(F.col("tot_fwd_pkts") >= 50, 1).otherwise(0).alias("prediction"))
     truth = binary_target(df, "label").select("flow_id", "is_attack")
     return joins.join_truth(pred, truth, "flow_id")
+
+
+@query("j3_join_truth_bucketed", with_flows("""
+SELECT p.flow_id, CASE WHEN p.tot_fwd_pkts >= 50 THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN lower(trim(t.label)) = 'benign' THEN 0 ELSE 1 END AS is_attack
+FROM flows p JOIN flows t ON p.flow_id = t.flow_id"""))
+def join_truth_bucketed(spark, sf_dir):
+    df = flows(spark, sf_dir)
+    pred = df.select("flow_id", F.when(F.col("tot_fwd_pkts") >= 50, 1).otherwise(0).alias("prediction"))
+    truth = binary_target(df, "label").select("flow_id", "is_attack")
+    return joins.join_truth(bucketed(pred, "pred", "flow_id"), bucketed(truth, "truth", "flow_id"), "flow_id")

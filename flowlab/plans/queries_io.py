@@ -16,10 +16,12 @@ from flowlab.schema import CIC_SCHEMA
 from flowlab.session import fresh_folder
 from flowlab.sources import (
     combine,
+    count_lines,
     from_json_flows,
     read_flows_csv,
     read_scoring_csv,
     read_table,
+    slice_lines,
     to_json_flows,
     write_csv,
     write_json,
@@ -55,6 +57,37 @@ def cic_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(CIC_FROM_FLOWS.get(f.name, "null")).cast(f.dataType).alias(f.name) for f in CIC_SCHEMA.fields])
 
 
+def _capture(spark: SparkSession, sf_dir: str) -> str:
+    """Flows as CSV, and beside them lines that a capture broke off: every 97th flow's, without its time."""
+    path = fresh_folder(spark, "capture")
+    write_csv(cic_flows(spark, sf_dir), f"{path}/flows")
+    broken = flows(spark, sf_dir).filter(F.col("flow_id") % 97 == 0)
+    broken.select(F.concat_ws(",", "dst_port", F.lit("6"), F.lit("2024-01-"), "flow_id").alias("value")).write.text(f"{path}/broken")
+    return f"{path}/*"
+
+
+SLICE = ("2024-01-05 09:15:00", "2024-01-05 21:46:00")
+
+
+@query("a10_slice_lines", with_flows(f"""
+SELECT CAST(flow_id AS INT) AS flow_id, strftime(flow_ts, '%Y-%m-%d %H:%M:%S') AS flow_time, dst_port, label FROM flows
+WHERE flow_ts >= TIMESTAMP '{SLICE[0]}' AND flow_ts < TIMESTAMP '{SLICE[1]}'"""))
+def slice_of_lines(spark, sf_dir):
+    """The lines of a capture that fall in a time range, parsed only then."""
+    rows = slice_lines(spark, _capture(spark, sf_dir), *SLICE)
+    return rows.select(F.col("Init Fwd Win Byts").alias("flow_id"), F.col("Timestamp").alias("flow_time"),
+                       F.col("Dst Port").alias("dst_port"), F.col("Label").alias("label"))
+
+
+@query("a10_count_lines", with_flows(f"""
+SELECT CASE WHEN flow_ts >= TIMESTAMP '{SLICE[0]}' AND flow_ts < TIMESTAMP '{SLICE[1]}' THEN 'inside' ELSE 'outside' END AS kind,
+  count(*) AS n FROM flows GROUP BY 1
+UNION ALL SELECT 'bad', count(*) FROM flows WHERE flow_id % 97 = 0"""))
+def count_of_lines(spark, sf_dir):
+    """Lines of a capture by kind; headers are as many as files."""
+    return count_lines(spark, _capture(spark, sf_dir), *SLICE).filter("kind <> 'header'")
+
+
 @query("a1_read_flows_csv", with_flows("""
 SELECT CAST(flow_id AS INT) AS flow_id, strftime(flow_ts, '%Y-%m-%d %H:%M:%S') AS flow_time, dst_port,
   flow_duration, tot_fwd_pkts, flow_byts_s, label FROM flows"""))

@@ -9,3 +9,5 @@ from flowlab.sources.readers import (  # noqa: F401
     to_json_flows,
 )
 from flowlab.sources.writers import write_csv, write_json, write_parquet, write_splits  # noqa: F401
+from flowlab.sources.bucketed import read_bucketed, write_bucketed  # noqa: F401
+from flowlab.sources.lines import count_lines, slice_lines  # noqa: F401

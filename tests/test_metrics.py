@@ -148,3 +148,23 @@ def test_running_totals_with_null_order_do_not_depend_on_slices(spark):
     sliced, plain = (running.running_sums(rows, ["t"], {"n": F.col("one")}, cuts=c).orderBy("t").collect() for c in (cuts, []))
     assert len(cuts) > 3 and [tuple(r) for r in sliced] == [tuple(r) for r in plain]
     assert {r.n for r in sliced if r.t is None} == {20}
+
+
+@pytest.mark.parametrize("parts", [1, 70])
+def test_correlations_in_one_pass(spark, parts):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 30)) + 1e6 * np.arange(30)
+    x[:, 1] = 2 * x[:, 0] + 5
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 5], x[:, 6] = 3.0, np.nan
+    cols = [f"c{i}" for i in range(30)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(parts)
+    got = {(r.column_a, r.column_b): r.corr for r in profile.correlation_matrix(df, cols).collect()}
+    assert len(got) == 435
+    for i, a in enumerate(cols):
+        for j in range(i + 1, 30):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            varies = both.sum() > 1 and x[both, i].std() > 0 and x[both, j].std() > 0
+            want = np.corrcoef(x[both, i], x[both, j])[0, 1] if varies else None
+            assert (got[a, cols[j]] is None) == (want is None) and (want is None or abs(got[a, cols[j]] - want) < 1e-7)
+    assert {r.corr for r in profile.correlation_matrix(df.limit(0), cols[:3]).collect()} == {None}

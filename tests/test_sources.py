@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from flowlab.plans import jobs
 from flowlab.schema import CIC_SCHEMA
+from flowlab.session import fresh_folder
 from flowlab.sources import (
     from_json_flows,
     read_flows_csv,
@@ -86,3 +87,41 @@ def test_prepare_from_csv_to_feature_tables(spark, tmp_path):
     assert {p: t.count() for p, t in tables.items()} == {"train": 1, "val": 1, "test": 1}
     row = tables["val"].first()
     assert (row.Label, row.is_attack, row.hour_of_day) == ("BENIGN", 0, 9)
+
+
+def test_lines_are_cut_before_they_are_parsed(spark):
+    from flowlab.sources import count_lines, slice_lines
+
+    schema = T.StructType().add("Port", T.IntegerType()).add("Time", T.StringType()).add("Label", T.StringType())
+    root = fresh_folder(spark, "lines")
+    lines = ["Port,Time,Label", "80,2018-03-02 09:15:00,Bot", "81,2018-03-02 09:14:59,Bot", '82,"2018-03-02 09:20:01","a, b"', "83,02/03/2018 09:20:00,Bot",
+             "Port,Time,Label", "", "84", "x,2018-03-02 09:30:00,Bot", "85,2018-03-02 09:46:00,Bot", "86,2018-03-02 09:45:59,Benign"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(root)
+    args = (root, "2018-03-02 09:15:00", "2018-03-02 09:46:00", schema)
+    assert {tuple(r) for r in slice_lines(spark, *args, ts="Time").collect()} == {
+        (80, "2018-03-02 09:15:00", "Bot"), (82, "2018-03-02 09:20:01", "a, b"), (86, "2018-03-02 09:45:59", "Benign")}
+    assert {r.kind: r.n for r in count_lines(spark, *args, ts="Time").collect()} == {"header": 2, "bad": 3, "inside": 3, "outside": 2}
+    some = slice_lines(spark, *args, ts="Time", pattern=r"2018-03-02 09:(1[5-9]|[2-3][0-9]):")
+    assert {r.Port for r in some.collect()} == {80, 82}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from flowlab.operators.joins import join_labels
+    from flowlab.sources import read_bucketed, write_bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left, right = fresh_folder(spark, "left"), fresh_folder(spark, "right")
+        a = write_bucketed(spark.range(500).selectExpr("id * 3 AS k", "id AS a"), left, "bucketed_a", "k", 8)
+        b = write_bucketed(spark.range(500).selectExpr("id * 2 AS k", "id AS b"), right, "bucketed_b", "k", 8)
+        joined = join_labels(a, b, "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert joined.count() == 167
+        spark.sql("DROP TABLE bucketed_b")
+        again = join_labels(a, read_bucketed(spark, right, "bucketed_b", "k", 8), "k")
+        assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == 167
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_a", "bucketed_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
