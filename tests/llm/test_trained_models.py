@@ -71,6 +71,30 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     assert no_docs.select(toxicity.score(spark, model, no_docs["text"])).collect() == []
 
 
+def test_many_languages_are_all_learned(spark):
+    """Three hundred languages, one of them made of copies and one of a single text."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    stems = [["".join(rng.choice(letters, 4)) for _ in range(12)] for _ in range(300)]
+    text = lambda i: " ".join(rng.choice(stems[i], 30))
+    rows = [(text(i), f"l{i:03d}") for i in range(299) for _ in range(5)] + [(text(299), "l299")] * 400 + [("only one here of its kind", "one")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == [f"l{i:03d}" for i in range(300)] + ["one"]
+    held = [(text(i), f"l{i:03d}") for i in range(300)]
+    found = [model.languages[j] for j in model.margins([t for t, _ in held]).argmax(axis=1)]
+    assert np.mean([f == y for f, (_, y) in zip(found, held, strict=True)]) > 0.95
+
+
+def test_language_stage_decides_by_score(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(-1, "zqxj kvwz xqk jjqz vvkx", None, None, None), (-2, "12 34 ...", None, None, None),
+                                 (-3, "it was the house of the and", None, None, None)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(odd), SF).select("doc_id").collect()}
+    assert not {-1, -2} & kept and -3 in kept and len(kept) == docs.count() + 1
+
+
 LABELLED = "doc_id bigint, text string, toxic int"
 
 
