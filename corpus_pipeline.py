@@ -19,13 +19,18 @@ from flowlab.llm.common import parquet, stored
 from flowlab.llm.queries import TOXIC_FROM, language_rows, toxicity_rows
 
 
+# The answer of the language classifier counts from this score on; below it a text looks like none of its languages.
+LANGUAGE_FROM = 0.32
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter, but none that the classifier calls ``und`` where that is a label it learned. Without a
-    row to learn from, every document with a letter stays."""
+    """Documents with a letter whose language the classifier tells with a score of LANGUAGE_FROM or more, but none that it
+    calls ``und`` where that is a label it learned. Without a row to learn from, every document with a letter stays."""
     model = langid.fit(language_rows(docs))
     if model is None:
         return docs.filter(langid.has_letter(F.col("text")))
-    return docs.filter(langid.predicted(spark, model, F.col("text"))["lang_pred"] != "und")
+    answer = langid.predicted(spark, model, F.col("text"))
+    return docs.filter(F.when(answer["lang_pred"] != "und", answer["score"]).otherwise(0.0) >= LANGUAGE_FROM)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
