@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm.common import free_names, stored
@@ -174,15 +174,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     reps = stored(signed.filter("n > 0").groupBy("digest").agg(F.min("_row").alias("node"), F.min("_key").alias("_least")),
                   "sets")
     rows = signed.join(reps.select(F.col("node").alias("_row")), "_row", "left_semi")
-    by_band = Window.partitionBy("band")
-    buckets = stored(rows.select(F.col("_row").alias("node"), F.explode("bands").alias("band"))
-                     .select("band", "node", F.count("*").over(by_band).alias("_n")).filter("_n > 1").drop("_n"), "buckets")
+    # Counts and hubs come from groupings, which sum before they shuffle, so a full bucket does not meet in one task.
+    named = rows.select(F.col("_row").alias("node"), F.explode("bands").alias("band"))
+    several = named.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").select("band")
+    buckets = stored(named.join(several, "band").select("band", "node"), "buckets")
     sets = stored(_with_shared(_candidate_sets(base, signed, buckets), percent), "shared")
     sets = stored(_with_shared(sets.drop("shared"), percent), "shared")  # those that left no longer count
     central = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("private"), F.col("node").alias("node"))
-    buckets = stored(buckets.select("band", "node").join(sets.select("node", "n", "shared"), "node").select(
-        "band", "node", "n", "shared", F.min(central).over(by_band).alias("hub"), F.count("*").over(by_band).alias("_n"))
-        .filter("_n > 1").drop("_n"), "buckets")
+    sized = stored(buckets.join(sets.select("node", "n", "shared"), "node").select("band", "node", "n", "shared"), "buckets")
+    hubs = sized.groupBy("band").agg(F.min(central).alias("hub"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    buckets = stored(sized.join(hubs, "band").select("band", "node", "n", "shared", "hub"), "buckets")
     # Each node with the most central of its hubs, then with its other hubs, then what is left in each bucket.
     with_hub = buckets.filter("node <> hub.node")
     pair = [F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")]
