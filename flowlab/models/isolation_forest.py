@@ -46,15 +46,21 @@ def draw_rows(
 ) -> DataFrame:
     """Up to ``psi`` of the ``n`` rows per tree without replacement: (tree, k, x).
 
-    Every tree draws from the whole table: a row is offered to the trees for which the hash of (tree, key) lies
-    below a share that leaves each tree somewhat more than ``psi`` rows. All other rows go before the shuffle.
+    Every tree draws from the whole table: a row is offered to each tree with a probability that leaves the tree somewhat
+    more than ``psi`` rows. One hash per row gives the first tree it is offered to (that number is geometric), if any;
+    only rows that have one, few in a large table, get a hash for each later tree. All others go before the shuffle.
     """
     rows = df.select(F.col(key).alias("k"), x.alias("x"))
     share = min(1.0, (OVERDRAW * psi + 12 * math.sqrt(psi)) / n)
-    drawn_by = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                        lambda tree: hash_uniform(F.lit(seed + 1), tree, F.col("k")) < share)
-    offered = rows.withColumn("tree", F.explode(drawn_by)).withColumn(
-        "u", hash_uniform(F.lit(seed + 1), F.col("tree"), F.col("k")))
+    if share == 1.0:
+        offered = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        first = F.floor(F.log1p(-hash_uniform(F.lit(seed + 1), F.col("k"))) / F.lit(math.log1p(-share)))
+        later = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: (tree > F.col("first")) & (
+            hash_uniform(F.lit(seed + 1), tree, F.col("k")) < share))
+        offered = rows.withColumn("first", first).filter(F.col("first") < trees).withColumn(
+            "tree", F.explode(F.concat(F.array(F.col("first").cast("int")), later)))
+    offered = offered.withColumn("u", hash_uniform(F.lit(seed + 2), F.col("tree"), F.col("k")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("u", "k"))
     return offered.withColumn("rank", rank).filter(F.col("rank") <= psi).select("tree", "k", "x")
 

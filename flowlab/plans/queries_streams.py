@@ -15,6 +15,7 @@ from flowlab.streaming import (
     alert_stream,
     json_stream,
     parquet_stream,
+    run_keyed_context,
     run_source_context,
     run_stream_summary,
     start,
@@ -158,6 +159,20 @@ def context_stream(spark, sf_dir):
         "flow_id", "src_id", "recent_flows", "recent_pkts", "gap_s")
 
 
+@query("g9_source_context_keyed", with_flows(CONTEXT_SQL))
+def context_keyed(spark, sf_dir):
+    """As above, from keyed state instead of a table of state."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    src, out = fresh_folder(spark, "arrivals"), fresh_folder(spark, "context")
+    for lot in range(4):
+        arrived = events.filter(F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == lot)
+        write_parquet(arrived, src, mode="append")
+        stream = flows_from(parquet_stream(spark, src, events.schema)).select(
+            "flow_id", "src_id", "flow_ts", "tot_fwd_pkts")
+        run_keyed_context(stream, "flow_ts", "src_id", "flow_id", out, f"{out}-progress", ttl_seconds=DAY).awaitTermination()
+    return spark.read.parquet(out).select("flow_id", "src_id", "recent_flows", "recent_pkts", "gap_s")
+
+
 @query("g10_stream_dedup", with_flows("SELECT flow_id, flow_ts, src_id FROM flows"))
 def dedup_stream(spark, sf_dir):
     """Each flow arrives twice and leaves once."""

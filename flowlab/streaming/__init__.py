@@ -1,5 +1,6 @@
 """Structured Streaming twins of the batch operators."""
 
+from flowlab.streaming.keyed import run_keyed_context  # noqa: F401
 from flowlab.streaming.scoring import (  # noqa: F401
     alert_stream,
     run_stream_summary,

@@ -11,6 +11,7 @@ from flowlab.sources import write_parquet
 from flowlab.streaming import (
     csv_stream,
     parquet_stream,
+    run_keyed_context,
     run_source_context,
     start,
     stream_dedup,
@@ -96,3 +97,28 @@ def test_model_scores_a_csv_stream_like_a_table(spark):
     stream_score(csv_stream(spark, src, rows.schema, files_per_batch=1), model, out, f"{out}-p").awaitTermination()
     got, want = spark.read.parquet(out), predict(rows, model)
     assert got.count() == 600 and got.select(*want.columns).exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_keyed_context_in_lots_equals_batch(spark, parts):
+    """A lot ends between two flows; equal times, a repeated flow, a flow without a time, and gaps past the lifetime."""
+    rows = flow_rows(spark, 400).select("flow_id", "src_id", "flow_ts", "tot_fwd_pkts")
+    later = rows.filter("flow_id >= 390").withColumn("flow_id", F.col("flow_id") + 1000).withColumn(
+        "flow_ts", F.col("flow_ts") + F.expr("INTERVAL 5 HOURS"))
+    same = rows.filter("flow_id % 50 = 1").withColumn("flow_id", F.col("flow_id") + 5000)
+    rows = rows.union(same).union(rows.filter("flow_id = 7")).union(later)
+    lots = [rows.filter("flow_id < 200 OR flow_id BETWEEN 5000 AND 5199"),
+            rows.filter("flow_id BETWEEN 200 AND 999 OR flow_id >= 5200"), rows.filter("flow_id BETWEEN 1000 AND 4999")]
+    src, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    for lot in lots:
+        deliver(lot.union(lot.limit(1).withColumn("flow_ts", F.lit(None).cast("timestamp"))), src)
+        run_keyed_context(parquet_stream(spark, src, rows.schema), "flow_ts", "src_id", "flow_id", out, f"{out}-p",
+                          seconds=1800, ttl_seconds=7200, sub_keys=parts).awaitTermination()
+    batch = windows.source_context(rows, "flow_ts", "src_id", "flow_id", seconds=1800, ttl_seconds=7200).withColumn(
+        "tot_fwd_pkts", F.col("tot_fwd_pkts").cast("bigint"))
+    got = spark.read.parquet(out).select(*batch.columns)
+    assert got.exceptAll(batch).isEmpty() and got.count() == rows.count() == 419
+    deliver(rows.filter("flow_id = 3"), src)
+    run_keyed_context(parquet_stream(spark, src, rows.schema), "flow_ts", "src_id", "flow_id", out, f"{out}-p",
+                      seconds=1800, ttl_seconds=7200, sub_keys=parts).awaitTermination()
+    assert spark.read.parquet(out).count() == 419
