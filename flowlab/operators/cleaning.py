@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from flowlab.functions import finite, is_missing, present
 from flowlab.functions.columns import FLOATING
 from flowlab.operators.quantiles import approx_quantiles, exact_quantiles
+from flowlab.session import drop_folder, fresh_folder
 
 # Columns that identify a flow or place it in time.
 IDENTIFIERS = ("flow_id", "src_ip", "dst_ip")
@@ -167,14 +168,20 @@ def remove_outliers_iqr(
 ) -> DataFrame:
     """Keep rows inside the bounds; in sequence, a column's bounds see only the rows left so far.
 
-    A row with null in a checked column is dropped.
+    A row with null in a checked column is dropped. In sequence the checked columns are stored once and narrowed there:
+    the table itself is read for that and for the result, however many columns and scans there are.
     """
     cols = [c for c in cols if c in df.columns]
-    if not sequential:
+    if not sequential or len(cols) < 2:
         return keep_within(df, outlier_bounds(df, cols, k, approx))
+    path = fresh_folder(df.sparkSession, "checked")
+    df.select(*cols).write.parquet(path)
+    left, bounds = df.sparkSession.read.parquet(path), {}
     for c in cols:
-        df = keep_within(df, outlier_bounds(df, [c], k, approx))
-    return df
+        bounds |= outlier_bounds(left, [c], k, approx)
+        left = keep_within(left, {c: bounds[c]})
+    drop_folder(df.sparkSession, path)
+    return keep_within(df, bounds)
 
 
 def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -217,11 +224,15 @@ def preprocess(
     """Fill, deduplicate, normalise labels and, if asked, remove outliers.
 
     ``row_key`` names a key column made from the rows that are left, before labels are trimmed,
-    so that it stays unique. Lazy except for the outlier bounds; take quality reports before and
-    after as wanted.
+    so that it stays unique. Lazy without outliers to remove; with them the distinct rows are stored first, so that the
+    scans for bounds do not deduplicate again. Take quality reports before and after as wanted.
     """
     distinct = df.transform(fill_missing_zero, inf_as_null=inf_as_null, label=label).transform(drop_duplicates)
     if row_key:
         distinct = with_row_key(distinct, row_key)
     clean = distinct.transform(normalize_labels, label)
-    return remove_outliers_iqr(clean, outlier_cols) if remove_outliers else clean
+    if not remove_outliers:
+        return clean
+    path = fresh_folder(df.sparkSession, "distinct")
+    clean.write.parquet(path)
+    return remove_outliers_iqr(df.sparkSession.read.schema(clean.schema).parquet(path), outlier_cols)
