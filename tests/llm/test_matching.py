@@ -196,6 +196,17 @@ def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     assert decontamination.without_leaks(odd_docs, items.limit(0)).count() == odd_docs.count()
 
 
+def test_items_of_few_shingles_are_all_found():
+    """In the size class of 512 a bin hides 3 of 100 shingles; 600 items of one shingle, each somewhere in a long document."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    starts = rng.sample(range(19_990), 600)
+    items = [(i, " ".join(words[s:s + 5 + i % 4])) for i, s in enumerate(starts)]
+    index = decontamination.ItemIndex(items, 5)
+    assert set(index.candidates(shingles.shingle_set(" ".join(words)))) == set(range(600))
+    assert not len(index.candidates(shingles.shingle_set("of none of these words is a thing said there")))
+
+
 def edited(text, after):
     half = len(text) // 2
     return text[:len(text) - half] + after[:half]
