@@ -5,6 +5,9 @@ All models are fitted, and the searches run, at the operators' default sizes.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +38,20 @@ def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def fitted_scores(spark: SparkSession, sf_dir: str, fit, **options) -> DataFrame:
-    """Scores of a plain and a class-weighted fit on the rows after the training period."""
+    """Scores of a plain and a class-weighted fit, made side by side, on the rows after the training period."""
     train, val, test = parts(spark, sf_dir)
     rows, held = materialize(balance.with_sample_weight(train), "train"), val.unionByName(test)
     scaler = scaling.fit_continuous_scaler(rows, FEATURES)
-    out = []
-    for strategy, weight in (("plain", None), ("weighted", "weight")):
+
+    def run(weight: str | None) -> tuple[str, dict]:
         model = fit(rows, FEATURES, weight=weight, scaler=scaler, **options)
-        values = score_run(model, held, "is_attack")
-        out.append((model.meta["model_type"], strategy, *[float(v) for v in values.values()]))
-    cols = "model_type string, strategy string, " + ", ".join(f"{m} double" for m in values)
+        return model.meta["model_type"], score_run(model, held, "is_attack")
+
+    with ThreadPool(2) as pool:
+        done = pool.map(inheritable_thread_target(spark)(run), [None, "weight"])
+    out = [(kind, strategy, *[float(v) for v in values.values()])
+           for strategy, (kind, values) in zip(("plain", "weighted"), done, strict=True)]
+    cols = "model_type string, strategy string, " + ", ".join(f"{m} double" for m in done[0][1])
     return spark.createDataFrame(out, cols)
 
 
