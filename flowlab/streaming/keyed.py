@@ -55,7 +55,7 @@ class SourceHistory(StatefulProcessor):
         new = new.sort_values(["t", "tie", "pkts"], ignore_index=True)
         t, own, pkts = new["t"].to_numpy(np.int64), new["own"].to_numpy(bool), new["pkts"].to_numpy(np.int64)
         held = {int(k[0]): (np.frombuffer(v[0], np.int64), np.frombuffer(v[1], np.int64)) for k, v in self.blocks.iterator()}
-        dropped, newest, timer = self.past.get() if self.past.exists() else (NEVER, NEVER, 0)
+        dropped, newest, timer = self.past.get() or (NEVER, NEVER, 0)
         none = [np.empty(0, np.int64)]
         old_t = np.concatenate([v[0] for v in held.values()] or none)
         all_t = np.concatenate([old_t, t[own]])
@@ -88,16 +88,21 @@ class SourceHistory(StatefulProcessor):
         for number in [n for n in held if (n + 1) * self.block <= newest - self.reach]:
             dropped = max(dropped, int(held[number][0].max()))
             self.blocks.removeKey((number,))
-        ends = newest // 1_000 + self.life
-        if ends != timer:
-            if timer:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(ends)
-        self.past.update((dropped, newest, ends))
+        if not timer:
+            timer = newest // 1_000 + self.life
+            self.handle.registerTimer(timer)
+        self.past.update((dropped, newest, timer))
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        self.blocks.clear()
-        self.past.clear()
+        """A timer is not moved with every flow: where newer flows came since it was set, it is set anew for them."""
+        dropped, newest, _ = self.past.get()
+        ends = newest // 1_000 + self.life
+        if ends <= timerValues.getCurrentWatermarkInMs():
+            self.blocks.clear()
+            self.past.clear()
+        else:
+            self.handle.registerTimer(ends)
+            self.past.update((dropped, newest, ends))
         yield from ()
 
     def close(self) -> None:
