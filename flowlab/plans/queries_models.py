@@ -298,6 +298,16 @@ def smote_blocks(spark, sf_dir):
     return out.groupBy("is_zero").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("n_synthetic"))
 
 
+@query("c20_smote_index", """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1)
+SELECT label, (SELECT max(n) FROM c) AS n, (SELECT max(n) FROM c) - n AS n_synthetic FROM c""")
+def smote_index(spark, sf_dir):
+    """All classes of the vectors grown to the largest, with neighbours from the index in 64 columns."""
+    rows, cols = _vector_rows(spark, sf_dir)
+    out = smote(rows, "vec_id", "label", cols, approximate=True)
+    return out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("n_synthetic"))
+
+
 @query("c20_smote_spread")
 def smote_spread(spark, sf_dir):
     """Means of real and synthetic attack flows; interpolation keeps them close."""
