@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlab import models
-from flowlab.models import search
+from flowlab.models import classifiers, search
 from flowlab.models.base import predict
 from flowlab.models.boosting import SideBySide
 from flowlab.models.search import materialize, score_run
@@ -251,3 +251,17 @@ def test_batch_job(spark, planted, tmp_path):
     row = jobs.run_batch(spark, f"{tmp_path}/in", f"{tmp_path}/m", f"{tmp_path}/out").first()
     assert (row.total_flows, row.model_name) == (800, "NB")
     assert row.attacks_detected + row.benign_flows == 800
+
+
+def test_forest_deals_a_large_table_evenly(spark, planted, monkeypatch):
+    """All rows of a table in one part reach as many parts as there are cores, the same ones again; a small table stays as it is."""
+    rows = classifiers._training(planted.coalesce(1), FEATURES, "is_attack", None, None)
+    assert classifiers._spread(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(classifiers, "FOREST_ROWS", 100)
+    dealt = [classifiers._spread(rows).rdd.glom().collect() for _ in range(2)]
+    assert [len(part) for part in dealt[0]] == [200] * 4 and dealt[0] == dealt[1]
+    monkeypatch.setattr(classifiers, "FOREST_PART_ROWS", 70)
+    again = classifiers._spread(rows)
+    assert again.rdd.getNumPartitions() == 12 and again.count() == 800 and again.exceptAll(rows).isEmpty()
+    model = models.fit_random_forest(planted.coalesce(1), FEATURES, trees=5, depth=4)
+    assert score_run(model, planted, "is_attack")["roc_auc"] > 0.95
