@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from flowlab.models.base import predict
 from flowlab.models.boosting import SideBySide
 from flowlab.models.search import materialize, score_run
 from flowlab.operators import balance, scaling
-from flowlab.operators.neighbours import distinct_points, nearest
+from flowlab.operators.neighbours import _visit, distinct_points, nearest
 from flowlab.operators.smote import smote, synthesize
 from flowlab.plans import catalog, jobs
 from flowlab.session import fresh_folder
@@ -265,3 +266,12 @@ def test_forest_deals_a_large_table_evenly(spark, planted, monkeypatch):
     assert again.rdd.getNumPartitions() == 12 and again.count() == 800 and again.exceptAll(rows).isEmpty()
     model = models.fit_random_forest(planted.coalesce(1), FEATURES, trees=5, depth=4)
     assert score_run(model, planted, "is_attack")["roc_auc"] > 0.95
+
+
+def test_a_visit_returns_only_points_within_reach():
+    """Of another block only what can enter a list leaves a task, nearest first, up to k rows by count."""
+    base = pa.table({"p": [1, 2, 3, 4], "m": [1, 2, 1, 1], "v": [[0.0, 1.0], [0.0, 2.0], [0.0, 3.0], [0.0, 9.0]]})
+    queries = pa.table({"qp": [10, 11, 3], "qv": [[0.0, 0.0], [0.0, 20.0], [0.0, 3.0]], "qr": [2.0, 5.0, float("inf")]})
+    got = {r["p"]: [(f["p"], f["d"], f["m"], f["v"]) for f in r["found"]] for r in _visit(3)(queries, base).to_pylist()}
+    assert got == {10: [(1, 1.0, 1, [0.0, 1.0]), (2, 2.0, 2, [0.0, 2.0])], 3: [(2, 1.0, 2, [0.0, 2.0]), (1, 2.0, 1, [0.0, 1.0])]}
+    assert _visit(3)(queries, base.slice(0, 0)).schema.equals(_visit(3)(queries, base).schema)
