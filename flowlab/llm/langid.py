@@ -9,6 +9,7 @@ matrix product per n.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -66,15 +67,16 @@ class LanguageModel:
     weights: np.ndarray
     bias: np.ndarray
 
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """Regression values, one row per text, near 1 for its language and -1 for the others."""
+    def margins(self, texts: Sequence[str] | pa.Array) -> np.ndarray:
+        """Regression values, one row per text, near 1 for its language and -1 for the others. Of an Arrow array only the
+        texts of a block are strings at a time."""
         out = np.tile(self.bias, (len(texts), 1))
         width = len(self.languages)
         present = np.zeros((BLOCK, WIDTH), np.float32)
         for start in range(0, len(texts), BLOCK):
             block = texts[start:start + BLOCK]
             present[:] = 0
-            for i, text in enumerate(block):
+            for i, text in enumerate(block.to_pylist() if isinstance(block, pa.Array) else block):
                 for columns in grams(text):
                     present[i, columns] = 1
             for n, low in zip(ORDERS, OFFSETS, strict=True):
@@ -170,10 +172,9 @@ def predicted(spark: SparkSession, model: LanguageModel | None, text: Column) ->
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(texts: pa.Array) -> pa.Array:
         known = shared.value
-        values = [t.as_py() for t in texts]
-        names, scores = ["und"] * len(values), np.zeros(len(values))
-        if known is not None and values:
-            margins = known.margins(values)
+        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        if known is not None and len(texts):
+            margins = known.margins(texts)
             names = [known.languages[j] for j in margins.argmax(axis=1)]
             scores = np.clip((margins.max(axis=1) + 1) / 2, 0, 1)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],

@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 CACHED_WORDS = 400_000
+# A worker hands its pieces on when they hold this many bytes of ids or are this many.
+BLOCK_BYTES, BLOCK_PIECES = 1 << 20, 4096
 
 # The split pattern of byte-level BPE vocabularies, written for the characters of PLAIN.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -91,39 +95,58 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
-    fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
-    fields += [("ids", pa.list_(pa.int32()))] if with_ids else []
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    fields = [rows.schema["_key"], *(StructField(n, LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens"))]
+    fields += [StructField("ids", ArrayType(IntegerType()))] if with_ids else []
+    schema = StructType(fields)
     end = np.array([end_id], "<u4").tobytes()
-    ddl = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint" + (",ids:array<int>" if with_ids else "") + ">>"
-
-    @F.arrow_udf(ddl)
-    def pieces(texts: pa.Array) -> pa.Array:
-        encode, ends = document_ids(tokenizer), [0]
-        starts, lengths, sums, totals, blobs = [], [], [], [], []
-        for value in texts:
-            ids = encode(value.as_py() or "") + end
-            at = 0
-            for n in piece_lengths(len(ids) // 4, longest):
-                part = ids[4 * at: 4 * (at + n)]
-                starts.append(at)
-                lengths.append(n)
-                sums.append(zlib.crc32(part))
-                totals.append(len(ids) // 4)
-                at += n
-            if with_ids:
-                blobs.append(ids)
-            ends.append(len(starts))
-        columns = [pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = document_ids(tokenizer)
+        for batch in batches:
+            yield from _piece_blocks(batch.column(0), batch.column(1), encode, end, longest, schema.names, with_ids)
+
+    out = rows.mapInArrow(pieces, schema)
+    return out.select(F.col("_key").alias(key), *schema.names[1:], F.monotonically_increasing_id().alias("sequence_id"),
+                      F.lit(0).cast("bigint").alias("offset"))
+
+
+def _piece_blocks(keys: pa.Array, texts: pa.Array, encode, end: bytes, longest: int, names: list[str],
+                  with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """The pieces of a batch of texts in blocks of bounded size, so that the ids of a whole batch are never held at once.
+    A document beyond that size is spread over several blocks."""
+    owners, starts, lengths, sums, totals, blobs = [], [], [], [], [], []
+    held = 0
+
+    def block() -> pa.RecordBatch:
+        columns = [keys.take(pa.array(owners, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))]
         if with_ids:
             cuts = np.concatenate([[0], np.cumsum(lengths)]).astype("i4")
             flat = pa.array(np.frombuffer(b"".join(blobs), "<i4"), pa.int32())
             columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat))
-        rows = pa.StructArray.from_arrays(columns, fields=[pa.field(n, t) for n, t in fields])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
-
-    out = docs.select(F.col(key).alias(key), F.explode(pieces(F.col(text))).alias("_p"))
-    return out.select(key, "_p.*", F.monotonically_increasing_id().alias("sequence_id"),
-                      F.lit(0).cast("bigint").alias("offset"))
+        for x in (owners, starts, lengths, sums, totals, blobs):
+            x.clear()
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    for i, value in enumerate(texts):
+        ids = encode(value.as_py() or "") + end
+        at = 0
+        for n in piece_lengths(len(ids) // 4, longest):
+            part = ids[4 * at: 4 * (at + n)]
+            owners.append(i)
+            starts.append(at)
+            lengths.append(n)
+            sums.append(zlib.crc32(part))
+            totals.append(len(ids) // 4)
+            if with_ids:
+                blobs.append(part)
+            at += n
+            held += len(part)
+            if held >= BLOCK_BYTES or len(owners) >= BLOCK_PIECES:
+                yield block()
+                held = 0
+    if owners:
+        yield block()
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

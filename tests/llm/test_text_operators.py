@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +104,40 @@ def test_packing_query(spark, sf, bpe):
     check_pieces(queries.op10_packing(spark, sf).collect(), texts(spark, sf), bpe)
 
 
+def test_packing_holds_the_ids_of_a_block_only():
+    """Blocks hold some ids at a time, whatever the rows of a batch; a document may lie in several."""
+    ids = np.arange(7_000, dtype="<u4").tobytes()
+    keys, texts_of = pa.array([None, *range(1, 1500)], pa.int64()), pa.array(["a"] * 1500)
+    names = ["k", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    tracemalloc.start()
+    arrow, n, blocks, most = pa.total_allocated_bytes(), Counter(), 0, 0
+    for block in packing._piece_blocks(keys, texts_of, lambda _: ids, b"\1\0\0\0", 2048, names, True):
+        most = max(most, tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - arrow)
+        blocks += 1
+        for owner, length in zip(block.column(0).to_pylist(), block.column(2).to_pylist(), strict=True):
+            n[owner] += length
+    tracemalloc.stop()
+    assert n == dict.fromkeys(keys.to_pylist(), 7_001) and blocks > 20
+    assert most < len(ids) * 1500 / 4
+
+
+@pytest.mark.parametrize(("block_bytes", "block_pieces"), [(1, 4096), (100, 4096), (1 << 20, 1), (1 << 20, 3)])
+def test_packing_in_small_blocks(odd_docs, monkeypatch, block_bytes, block_pieces):
+    """Where blocks end changes no piece and no order."""
+    docs = odd_docs.collect()
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+
+    def all_pieces():
+        blocks = packing._piece_blocks(pa.array([r.doc_id for r in docs]), pa.array([r.text for r in docs]), packing.document_ids(BPE),
+                                       b"\1\0\0\0", 64, names, True)
+        return [r for block in blocks for r in block.to_pylist()]
+
+    want = all_pieces()
+    monkeypatch.setattr(packing, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(packing, "BLOCK_PIECES", block_pieces)
+    assert all_pieces() == want
+
+
 def test_packing_of_odd_rows(odd_docs, no_docs, bpe, tmp_path):
     packed = packing.pack(odd_docs, BPE, longest=64, end_id=1)
     rows = packed.collect()

@@ -162,6 +162,36 @@ def test_run(spark, sf):
     check_pieces(rows, documents, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def test_stages_take_small_batches(spark, sf, monkeypatch):
+    """Workers get a bounded number of texts at once; a smaller setting stays, and run leaves the session as it was."""
+    import pyarrow as pa
+
+    docs = spark.range(2000).selectExpr("id doc_id", "'one two' text", "'en' lang", "'a' source", "7L n_chars").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    def counted(spark, docs, sf_dir):
+        return docs.mapInArrow(sizes, "n bigint")
+
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            for own, most in (("0", 512), ("10000", 512), ("100", 100)):
+                spark.conf.set(corpus_pipeline.BATCH_SETTING, own)
+                stage(spark, docs.limit(0), sf)
+                assert max(r.n for r in counted(spark, docs, sf).collect()) == most, name
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, "9999")
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", corpus_pipeline.small_batches(counted))])
+        monkeypatch.setattr(corpus_pipeline, "parquet", lambda *_: docs)
+        rows = [r.n for r in corpus_pipeline.run(spark, sf).collect()]
+        assert sum(rows) == 2000 and max(rows) == 512
+        assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == "9999"
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+
+
 def test_stages_on_odd_rows(spark, odd_docs, no_docs, sf):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES[:-1]:
